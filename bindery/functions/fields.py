@@ -69,7 +69,7 @@ def parent_fields(parent_id: Column, datafield: Column) -> Column:
     items = fields_with_tag(datafield, "ITM")
     last_item = F.slice(items, F.greatest(F.size(items), F.lit(1)), F.lit(1))
     link = make_datafield(LINK_TAG, F.array(subfield("a", parent_id)))
-    return F.concat(last_item, fields_with_tag(datafield, "HLD"), F.array(link)).cast(DATAFIELDS)
+    return F.concat(last_item, fields_with_tag(datafield, "HLD"), F.array(link))
 
 
 def append_fields(datafield: Column, extra: Column) -> Column:

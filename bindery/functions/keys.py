@@ -34,10 +34,12 @@ def or_default(value: Column, default: Column | str | None) -> Column:
 
 
 def batch_stamp(name: Column, boundwith: Column) -> Column:
-    """The numeric stamp in a file name. ``boundwith`` is one decision for the whole listing."""
-    parts = F.split(name, "_")
+    """The numeric stamp in a file name, null when there is none.
+
+    ``boundwith`` is one decision for the whole listing.
+    """
     at = F.when(boundwith, F.lit(BOUNDWITH_STAMP_AT)).otherwise(F.lit(STAMP_AT))
-    return F.get(parts, at).cast("long")
+    return F.get(F.split(name, "_"), at).try_cast("long")
 
 
 def key_datestamp(key: Column) -> Column:
@@ -71,13 +73,9 @@ def listing_path(name: Column, base: str) -> Column:
 
 def processed_key(key: Column) -> Column:
     """The key after a load: the first occurrence of each folder name is replaced, in turn."""
-    out = key
     for folder, moved in FOLDER_MOVES.items():
-        out = F.when(
-            F.instr(out, folder) > 0,
-            F.concat(substring_before(out, folder), F.lit(moved), substring_after(out, folder)),
-        ).otherwise(out)
-    return out
+        key = F.regexp_replace(key, f"(?s)^(.*?){folder}", f"$1{moved}")
+    return key
 
 
 def needs_relocation(key: Column) -> Column:

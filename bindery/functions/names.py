@@ -1,50 +1,54 @@
-"""Personal names split into the subfields of a bibliographic name entry."""
+"""Personal names split into the subfields of a bibliographic name entry.
+
+A name may hold a fuller form in parentheses and a date range at its end. Each part is one regular
+expression over the whole name, so the name is referred to once per part and plans stay small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from bindery.functions.text import is_digit_at, substring_after, substring_before, xp_substring
-
-# A date range is taken to be preceded by ", " and four digits.
-DATE_TAIL = 6
-YEAR_BACK = 3
+# Fixed values of the splitting rules. A range in the name is cut off with the six characters before
+# its dash, a comma, a space and a year; the dates start four characters before that dash. The later
+# of the first two dashes is the one in the range, unless a digit stands before the first.
+HEAD = "(?s)^[^-]*"
+DIGIT_BEFORE_DASH = HEAD + "[0-9]-"
+TWO_DASHES = HEAD + "-[^-]*-"
+CUT_AT_FIRST = "(?s)^([^-]*)[^-]{6}-"
+CUT_AT_SECOND = "(?s)^([^-]*-(?:[^-]*(?=[^-]{6}-))?)"
+YEAR_START = "(?:[^-]*(?=[^-]{4}-)|(?=[^-]{0,3}-))"
+DATES_AT_FIRST = f"(?s)^{YEAR_START}([0-9].*)"
+DATES_AT_SECOND = f"{HEAD}-{YEAR_START}([0-9].*)"
+BEFORE_PAREN = r"(?s)^([^(]*)\("
+IN_PAREN = r"(?s)^[^(]*\(([^)]*)\)"
 
 
 def name_part(name: Column) -> Column:
-    """Subfield a: the name without a parenthesised form and without a trailing date range."""
-    head = substring_before(name, "-")
-    rest = substring_after(name, "-")
-    second = substring_before(rest, "-")
-    cut = lambda text: xp_substring(text, 1, F.length(text) - F.lit(DATE_TAIL))
+    """Subfield a: the name without a parenthesised form and without a trailing date range.
+
+    Only a name with neither parenthesis nor dash gets a closing comma.
+    """
     return (
-        F.when(F.contains(name, F.lit("(")), substring_before(name, "("))
+        F.when(F.contains(name, F.lit("(")), F.regexp_extract(name, BEFORE_PAREN, 1))
         .when(~F.contains(name, F.lit("-")), F.concat(name, F.lit(",")))
-        .when(is_digit_at(head, F.length(head)), cut(head))
-        .when(F.contains(rest, F.lit("-")), F.concat(head, F.lit("-"), cut(second)))
+        .when(name.rlike(DIGIT_BEFORE_DASH), F.regexp_extract(name, CUT_AT_FIRST, 1))
+        .when(name.rlike(TWO_DASHES), F.regexp_extract(name, CUT_AT_SECOND, 1))
         .otherwise(name)
     )
 
 
 def fuller_form(name: Column) -> Column:
     """Subfield q: the parenthesised form; null when there is no parenthesis."""
-    inside = substring_before(substring_after(name, "("), ")")
+    inside = F.regexp_extract(name, IN_PAREN, 1)
     return F.when(F.contains(name, F.lit("(")), F.concat(F.lit("("), inside, F.lit(")")))
 
 
 def dates_part(name: Column) -> Column:
-    """Subfield d: what follows from four characters before the dash, if it starts with a digit.
-
-    With two dashes the second one is used. Null when no date is found.
-    """
-    head = substring_before(name, "-")
-    rest = substring_after(name, "-")
-    second = substring_before(rest, "-")
-    found = F.when(
-        F.contains(rest, F.lit("-")), xp_substring(rest, F.length(second) - F.lit(YEAR_BACK))
-    ).otherwise(xp_substring(name, F.length(head) - F.lit(YEAR_BACK)))
-    dated = F.contains(name, F.lit("-")) & is_digit_at(found, 1)
-    return F.when(dated, F.concat(found, F.lit(". ")))
+    """Subfield d: the dates, if what stands four characters before the dash is a digit; else null."""
+    found = F.when(name.rlike(TWO_DASHES), F.regexp_extract(name, DATES_AT_SECOND, 1)).otherwise(
+        F.regexp_extract(name, DATES_AT_FIRST, 1)
+    )
+    return F.concat(F.nullif(found, F.lit("")), F.lit(". "))
 
 
 def role_part(role: Column) -> Column:
@@ -54,12 +58,8 @@ def role_part(role: Column) -> Column:
 
 def orcid_part(orcid: Column) -> Column:
     """Subfield 0: the identifier, prefixed unless it is a link. Null without an identifier."""
-    return F.when(
-        orcid.isNotNull(),
-        F.when(F.contains(orcid, F.lit("http")), orcid).otherwise(
-            F.concat(F.lit("(orcid)"), orcid)
-        ),
-    )
+    prefix = F.when(F.contains(orcid, F.lit("http")), "").otherwise("(orcid)")
+    return F.concat(prefix, orcid)
 
 
 def person_subfields(name: Column, role: Column, orcid: Column | None = None) -> Column:

@@ -34,8 +34,8 @@ def _int(value: Column | int) -> Column:
 
 
 def normalize_space(text: Column) -> Column:
-    """Trim and collapse runs of XML white space."""
-    return F.trim(F.regexp_replace(text, f"[{XML_SPACE}]+", " "))
+    """Trim and collapse runs of XML white space. Single spaces, the usual case, are not rewritten."""
+    return F.trim(F.regexp_replace(text, f"[{XML_SPACE}]{{2,}}|[{XML_SPACE.strip(' ')}]", " "))
 
 
 def is_digit_at(text: Column, position: Column | int) -> Column:

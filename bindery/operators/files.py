@@ -22,12 +22,21 @@ def with_prefix_suffix(files: DataFrame, prefix: str, suffix: str, key: str = "k
 
 
 def newest_batch(files: DataFrame, key: str = "key") -> DataFrame:
-    """One row: the largest stamp as a number. The stamp's place is read off the first name."""
-    named_boundwith = files.agg(F.min(key).alias("first")).select(
-        F.coalesce(F.contains("first", F.lit("boundwith")), F.lit(False)).alias("boundwith")
+    """One row: the largest stamp as a number. The stamp's place is read off the first name.
+
+    Both places are tried in the same pass. A name without a stamp in the chosen one is an error.
+    """
+    name = F.col(key)
+    plain, bound = batch_stamp(name, F.lit(False)), batch_stamp(name, F.lit(True))
+    tried = files.agg(
+        F.coalesce(F.contains(F.min(name), F.lit("boundwith")), F.lit(False)).alias("boundwith"),
+        F.max(plain).alias("plain"), F.max(bound).alias("bound"),
+        F.min(F.when(plain.isNull(), name)).alias("plain_bad"), F.min(F.when(bound.isNull(), name)).alias("bound_bad"),
     )
-    stamp = batch_stamp(F.col(key), named_boundwith.scalar())
-    return files.agg(F.max(stamp).alias("newest"))
+    chosen = lambda left, right: F.when(F.col("boundwith"), F.col(left)).otherwise(F.col(right))
+    bad = chosen("bound_bad", "plain_bad")
+    error = F.raise_error(F.concat(F.lit("no batch stamp in "), bad)).cast("long")
+    return tried.select(F.when(bad.isNotNull(), error).otherwise(chosen("bound", "plain")).alias("newest"))
 
 
 def batch_candidates(files: DataFrame, stem: str = STEM, key: str = "key") -> DataFrame:
@@ -105,8 +114,12 @@ def files_moved(files: DataFrame, by: str) -> DataFrame:
 
 
 def records_per_file(records: DataFrame, by: str = "src_key") -> DataFrame:
-    """Records of each file, and of all files in the row whose key is null."""
-    return records.rollup(by).agg(F.count("*").alias("records"))
+    """Records of each file, and of all files in the row whose key is null.
+
+    The total is rolled up from the counts per file, so the records are passed over once.
+    """
+    counts = records.groupBy(by).agg(F.count("*").alias("records"))
+    return counts.rollup(by).agg(F.sum("records").alias("records"))
 
 
 def count_docs(docs: DataFrame) -> DataFrame:

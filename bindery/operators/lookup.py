@@ -13,25 +13,35 @@ def explode_children(records: DataFrame) -> DataFrame:
 
     ``ord`` is the place in the lookup: file, record in the file, child in the record.
     """
-    ids = subfield_values(F.col("datafield"), "774", "w")
-    listed = records.select(
+    # The inherited fields are made once per parent, before its children are exploded.
+    parents = records.select(
         "src_key", "rec_pos", F.col("record_id").alias("parent_id"),
         parent_fields(F.col("record_id"), F.col("datafield")).alias("fields"),
-        F.posexplode(ids).alias("child_pos", "raw_id"),
+        subfield_values(F.col("datafield"), "774", "w").alias("ids"),
+    )
+    return _child_rows(parents, "fields")
+
+
+def _child_rows(parents: DataFrame, inherited: str) -> DataFrame:
+    listed = parents.select(
+        "src_key", "rec_pos", "parent_id", inherited, F.posexplode("ids").alias("child_pos", "raw_id")
     )
     return listed.filter(valid_child_id(F.col("raw_id"))).select(
         trimmed_id(F.col("raw_id")).try_cast("long").alias("child_id"),
         F.col("parent_id").try_cast("long").alias("parent_id"),
-        "fields",
+        inherited,
         F.struct("src_key", "rec_pos", "child_pos").alias("ord"),
     )
 
 
 def build_lookup(records: DataFrame) -> DataFrame:
     """Lookup rows with the inherited fields packed as in the lookup file."""
-    return explode_children(records).select(
-        "child_id", "parent_id", pack_fields(F.col("fields")).alias("parent_xml"), "ord"
+    parents = records.select(
+        "src_key", "rec_pos", F.col("record_id").alias("parent_id"),
+        pack_fields(parent_fields(F.col("record_id"), F.col("datafield"))).alias("parent_xml"),
+        subfield_values(F.col("datafield"), "774", "w").alias("ids"),
     )
+    return _child_rows(parents, "parent_xml")
 
 
 def unpack_lookup(lookup: DataFrame) -> DataFrame:

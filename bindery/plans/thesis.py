@@ -12,7 +12,7 @@ from bindery.functions.fields import make_datafield, subfield
 from bindery.functions.keys import clean_item_id, filename_id, map_language
 from bindery.functions.names import person_subfields
 from bindery.functions.text import normalize_space, short_date, split_keywords, substring_after, substring_before, title_skip
-from bindery.schemas import DATAFIELDS, xoai_elements
+from bindery.schemas import DATAFIELDS
 
 # Fixed values of the output records.
 LEADER = "00000nam#a22000007i#4500"
@@ -37,40 +37,35 @@ CONTENT_TYPES = [
 ]
 
 
-def _children(node: Column, level: int) -> Column:
-    return F.coalesce(node["element"], F.array().cast(xoai_elements(level)))
+# The paths below are SQL text rather than nested Python lambdas: they are parsed in one call each.
+def _named(elements: str, name: str) -> str:
+    return f"filter({elements}, e -> e._name = '{name}')"
 
 
-def _named(elements: Column, name: str) -> Column:
-    return F.filter(elements, lambda e: e["_name"] == F.lit(name))
+def _children(elements: str) -> str:
+    """All child elements of several elements."""
+    return f"flatten(transform({elements}, e -> coalesce(e.element, array())))"
 
 
-def _texts(element: Column, name: str = "value") -> Column:
-    """Text of an element's own fields of one name."""
-    fields = F.coalesce(element["field"], F.array().cast("array<struct<_VALUE:string,_name:string>>"))
-    return F.transform(
-        F.filter(fields, lambda f: f["_name"] == F.lit(name)), lambda f: F.coalesce(f["_VALUE"], F.lit(""))
-    )
-
-
-def _under(dc: Column, *path: str) -> Column:
-    """Elements at a path of one or two names below ``dc``."""
-    found = _named(_children(dc, 3), path[0])
-    if len(path) == 2:
-        found = F.flatten(F.transform(found, lambda e: _named(_children(e, 2), path[1])))
+def _under(root: str, *path: str) -> str:
+    """Elements at a path of names below the element ``root``."""
+    found = _named(f"coalesce({root}.element, array())", path[0])
+    for name in path[1:]:
+        found = _named(_children(found), name)
     return found
 
 
-def _values(dc: Column, *path: str, first_each: bool = False) -> Column:
-    """Values one wildcard element below a path; with ``first_each`` only the first of each wrapper."""
-    take = lambda w: F.slice(_texts(w), 1, 1) if first_each else _texts(w)
-    level = 3 - len(path)
-    wrappers = F.flatten(F.transform(_under(dc, *path), lambda e: _children(e, level)))
-    return F.flatten(F.transform(wrappers, take))
+def _texts(elements: str, field: str = "value", first_each: bool = False) -> str:
+    """Text of the elements' own fields of one name; with ``first_each`` one of each element."""
+    named = f"filter(coalesce(e.field, array()), f -> f._name = '{field}')"
+    if first_each:
+        named = f"slice({named}, 1, 1)"
+    return f"flatten(transform({elements}, e -> transform({named}, f -> coalesce(f._VALUE, ''))))"
 
 
-def _present(dc: Column, *path: str) -> Column:
-    return F.size(_under(dc, *path)) > 0
+def _values(path: tuple[str, ...], first_each: bool = False) -> str:
+    """Values one wildcard element below a path of the ``dc`` element."""
+    return _texts(_children(_under("dc", *path)), first_each=first_each)
 
 
 def _first(values: Column) -> Column:
@@ -98,16 +93,14 @@ TESTED = {"filename": ("identifier", "filename"), "admin_id": ("identifier", "pr
 
 def read_metadata(records: DataFrame, keep: list[str]) -> DataFrame:
     """One row per ``dc`` element with the values the mapping needs. ``records`` has ``element``."""
-    each = records.select(*keep, "element", F.explode(_named(F.col("element"), "dc")).alias("dc"))
-    dc = F.col("dc")
-    columns = [_values(dc, *path).alias(name) for name, path in SOURCES.items()]
-    columns += [_values(dc, *path, first_each=True).alias(name) for name, path in FIRST_OF_EACH.items()]
-    columns += [_present(dc, *path).alias(f"has_{name}") for name, path in TESTED.items()]
-    bundles = F.flatten(F.transform(_named(F.col("element"), "bundles"), lambda e: _named(_children(e, 3), "bundle")))
-    streams = F.flatten(F.transform(bundles, lambda e: _named(_children(e, 2), "bitstreams")))
-    files = F.flatten(F.transform(streams, lambda e: _named(_children(e, 1), "bitstream")))
-    described = F.flatten(F.transform(files, lambda e: _texts(e, "description")))
-    columns.append(F.array_contains(described, SUPPLEMENT).alias("supplement"))
+    each = records.select(*keep, "element", F.explode(F.expr(_named("element", "dc"))).alias("dc"))
+    columns = [F.expr(_values(path)).alias(name) for name, path in SOURCES.items()]
+    columns += [F.expr(_values(path, first_each=True)).alias(name) for name, path in FIRST_OF_EACH.items()]
+    columns += [F.expr(f"size({_under('dc', *path)}) > 0").alias(f"has_{name}") for name, path in TESTED.items()]
+    files = _named("element", "bundles")
+    for name in ("bundle", "bitstreams", "bitstream"):
+        files = _named(_children(files), name)
+    columns.append(F.array_contains(F.expr(_texts(files, "description")), SUPPLEMENT).alias("supplement"))
     return each.select(*keep, *columns)
 
 
@@ -218,7 +211,7 @@ def build_records(metadata: DataFrame, keep: list[str], run_date: Column) -> Dat
         _if(c("supplement"), _field("902", subfield("a", SUPPLEMENT_NOTE))),
     ]
     return metadata.select(
-        *keep, F.lit(LEADER).alias("leader"), control.alias("controlfield"), F.concat(*fields).cast(DATAFIELDS).alias("datafield")
+        *keep, F.lit(LEADER).alias("leader"), control.alias("controlfield"), F.concat(*fields).alias("datafield")
     )
 
 
@@ -229,9 +222,15 @@ def xoai_to_marc(records: DataFrame, run_date: Column, keep: list[str] | None =
 
 
 def long_form(records: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per subfield of the data fields."""
-    fields = records.select(*keep, F.posexplode("datafield").alias("field_pos", "f"))
-    return fields.select(
-        *keep, "field_pos", F.col("f.tag").alias("tag"), F.col("f.ind1").alias("ind1"), F.col("f.ind2").alias("ind2"),
-        F.posexplode("f.subfield").alias("part_pos", "s"),
-    ).select(*keep, "field_pos", "tag", "ind1", "ind2", "part_pos", F.col("s.code").alias("code"), F.col("s.value").alias("value"))
+    """One row per subfield of the data fields. One generator for both levels keeps the plan small."""
+    rows = F.transform(
+        "datafield",
+        lambda f, i: F.transform(
+            f["subfield"],
+            lambda s, j: F.struct(
+                i.alias("field_pos"), f["tag"].alias("tag"), f["ind1"].alias("ind1"), f["ind2"].alias("ind2"),
+                j.alias("part_pos"), s["code"].alias("code"), s["value"].alias("value"),
+            ),
+        ),
+    )
+    return records.select(*keep, F.inline(F.flatten(rows)))

@@ -17,33 +17,38 @@ MEMBERS = "src_key string, member string, rec_pos long, xml string"
 BLOCK = 1 << 20
 
 
-def _record_slices(stream: io.BufferedIOBase, tag: str) -> Iterator[bytes]:
-    """The bytes of each direct child ``tag`` of the root element, read block by block."""
-    held, base, depth, start, found = bytearray(), 0, 0, None, []
+def _record_slices(stream: io.BufferedIOBase, tag: str) -> Iterator[str]:
+    """The source text of each direct child ``tag`` of the root element, read block by block."""
+    held, base, depth, start, found, encoding = bytearray(), 0, 0, None, [], "utf-8"
     parser = expat.ParserCreate()
 
+    def declared(_version: str, name: str | None, _standalone: int) -> None:
+        nonlocal encoding
+        encoding = name or encoding
+
     def opened(name: str, _attributes: dict) -> None:
         nonlocal depth, start
         if depth == 1 and name.rsplit(":", 1)[-1] == tag:
             start = parser.CurrentByteIndex
         depth += 1
 
-    def closed(name: str) -> None:
+    def closed(_name: str) -> None:
         nonlocal depth, start
         depth -= 1
         if depth == 1 and start is not None:
             found.append((start, parser.CurrentByteIndex))
             start = None
 
-    parser.StartElementHandler, parser.EndElementHandler = opened, closed
-    # One thing expat does not report is where an end tag stops, so look for its bracket.
+    parser.XmlDeclHandler, parser.StartElementHandler, parser.EndElementHandler = declared, opened, closed
     while True:
         block = stream.read(BLOCK)
         held += block
         parser.Parse(block, not block)
         for begin, end in found:
-            stop = held.index(b">", end - base) + 1
-            yield bytes(held[begin - base : stop])
+            # The parser gives where an end tag starts; for an empty element, where it stops.
+            opening = held.index(b">", begin - base) + 1
+            stop = opening if opening + base == end else held.index(b">", end - base) + 1
+            yield held[begin - base : stop].decode(encoding)
         found.clear()
         if not block:
             return
@@ -69,7 +74,7 @@ def expand_archives(files: DataFrame, tag: str = "record", batch_bytes: int = 8
                         if not entry.isfile():
                             continue
                         for piece in _record_slices(archive.extractfile(entry), tag):
-                            for column, value in zip(rows, (path, entry.name, position, piece.decode("utf-8"))):
+                            for column, value in zip(rows, (path, entry.name, position, piece)):
                                 column.append(value)
                             position, size = position + 1, size + len(piece)
                             if size >= batch_bytes:

@@ -40,7 +40,7 @@ def compare(spark, connection, name: str, query, sql: str, sf_dir: str) -> str |
     if got != want:
         extra, missing = list((got - want).items())[:2], list((want - got).items())[:2]
         return f"{sum(got.values())} vs {sum(want.values())} rows; only ours {str(extra)[:700]}; only SQL {str(missing)[:700]}; types {odd}"
-    return f"types {odd}" if odd else None
+    return f"types {odd}" if odd else ("no rows" if not got else None)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ Field arrays are built inside a row, so no group of rows is ever collected to ma
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bindery.functions.fields import fields_with_tag, make_datafield, subfield, subfield_values, trimmed_id, valid_child_id
 from bindery.functions.packed_xml import pack_fields
@@ -19,7 +19,12 @@ from bindery.sources.xml import read_marcxml
 from workload.registry import query, table
 
 
-def document_records(spark, sf_dir) -> DataFrame:
+def numbered_id(number) -> Column:
+    """A record id in the child-id form."""
+    return F.concat(F.lit("99"), number.cast("string"), F.lit("3811"))
+
+
+def document_records(spark, sf_dir, ident: Column | None = None) -> DataFrame:
     """Lines become item, holding, child-link or note fields by their first letter."""
 
     def as_field(line):
@@ -38,7 +43,7 @@ def document_records(spark, sf_dir) -> DataFrame:
         return make_datafield(tag, parts)
 
     data = F.transform(F.split("text", "\n"), as_field).cast(DATAFIELDS)
-    ident = F.concat(F.lit("99"), F.col("doc_id").cast("string"), F.lit("3811"))
+    ident = numbered_id(F.col("doc_id")) if ident is None else ident
     control = F.array(F.struct(F.lit("001").alias("tag"), ident.alias("value")))
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.col("source").alias("src_key"), F.col("doc_id").alias("rec_pos"), ident.alias("record_id"),
@@ -48,9 +53,7 @@ def document_records(spark, sf_dir) -> DataFrame:
 
 def child_records(spark, sf_dir) -> DataFrame:
     """The same records under ids that children have: the length of their first line."""
-    width = F.length(F.substring_index("text", "\n", 1)).cast("string")
-    ids = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("99"), width, F.lit("3811")).alias("_id"))
-    return document_records(spark, sf_dir).join(ids, "doc_id").withColumn("record_id", F.col("_id")).drop("_id")
+    return document_records(spark, sf_dir, numbered_id(F.length(F.substring_index("text", "\n", 1))))
 
 
 LINES = """
