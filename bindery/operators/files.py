@@ -85,7 +85,8 @@ def expired_files(
 
 def parent_of(path: Column) -> Column:
     """Path without its last part; empty at the root."""
-    return F.regexp_replace(path, "/?[^/]*$", "")
+    last = F.substring_index(path, "/", -1)
+    return F.substr(path, F.lit(1), F.greatest(F.length(path) - F.length(last) - F.lit(1), F.lit(0)))
 
 
 def empty_dirs(dirs: DataFrame, entries: DataFrame, path: str = "path") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tarfile
 from collections.abc import Iterator
 from xml.parsers import expat
@@ -15,6 +16,7 @@ from bindery.sources.xml import marc_columns
 
 MEMBERS = "src_key string, member string, rec_pos long, xml string"
 BLOCK = 1 << 20
+START_TAG = re.compile(rb"<(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>")
 
 
 def _record_slices(stream: io.BufferedIOBase, tag: str) -> Iterator[str]:
@@ -46,8 +48,9 @@ def _record_slices(stream: io.BufferedIOBase, tag: str) -> Iterator[str]:
         parser.Parse(block, not block)
         for begin, end in found:
             # The parser gives where an end tag starts; for an empty element, where it stops.
-            opening = held.index(b">", begin - base) + 1
-            stop = opening if opening + base == end else held.index(b">", end - base) + 1
+            opening = START_TAG.match(held, begin - base)
+            empty = opening[0].endswith(b"/>")
+            stop = opening.end() if empty else held.index(b">", end - base) + 1
             yield held[begin - base : stop].decode(encoding)
         found.clear()
         if not block:

@@ -39,6 +39,8 @@ def apply_stream(
         net = net_changes(batch, key, payload, order)
         net.write.mode("overwrite").parquet(f"{root}/changes/epoch={epoch}")
 
+    # An epoch without rows, so that readers find the folder before the first batch.
+    write_net(changes.sparkSession.createDataFrame([], changes.schema), -1)
     return (
         changes.writeStream.foreachBatch(write_net)
         .option("checkpointLocation", f"{root}/progress")
@@ -48,11 +50,8 @@ def apply_stream(
 
 
 def pending_changes(spark: SparkSession, root: str, schema: str, key: str) -> DataFrame:
-    """Net changes over all micro-batches: for each key the one of its last epoch.
-
-    The base path is read, so that a folder without rows yet is no special case.
-    """
-    rows = spark.read.schema(f"{schema}, _deleted boolean, epoch long").option("basePath", f"{root}/changes").parquet(f"{root}/changes")
+    """Net changes over all micro-batches: for each key the one of its last epoch."""
+    rows = spark.read.schema(f"{schema}, _deleted boolean, epoch long").parquet(f"{root}/changes")
     others = [name for name in rows.columns if name not in (key, "epoch")]
     last = rows.groupBy(key).agg(F.max_by(F.struct(*others), "epoch").alias("_last"))
     return last.select(key, "_last.*")
