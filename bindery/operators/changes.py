@@ -108,4 +108,5 @@ def apply_changes(
 
 
 def delete_keys(snapshot: DataFrame, deletes: DataFrame, key: str) -> DataFrame:
-    return snapshot.join(deletes.select(key), key, "left_anti")
+    """Snapshot without the deleted keys. They are made distinct first, so a repeated one is sent once."""
+    return snapshot.join(deletes.select(key).distinct(), key, "left_anti")

@@ -24,7 +24,8 @@ def with_prefix_suffix(files: DataFrame, prefix: str, suffix: str, key: str = "k
 def newest_batch(files: DataFrame, key: str = "key") -> DataFrame:
     """One row: the largest stamp as a number. The stamp's place is read off the first name.
 
-    Both places are tried in the same pass. A name without a stamp in the chosen one is an error.
+    Both places are tried in the same pass. No files at all, or a name without a stamp in the chosen
+    place, is an error.
     """
     name = F.col(key)
     plain, bound = batch_stamp(name, F.lit(False)), batch_stamp(name, F.lit(True))
@@ -34,9 +35,12 @@ def newest_batch(files: DataFrame, key: str = "key") -> DataFrame:
         F.min(F.when(plain.isNull(), name)).alias("plain_bad"), F.min(F.when(bound.isNull(), name)).alias("bound_bad"),
     )
     chosen = lambda left, right: F.when(F.col("boundwith"), F.col(left)).otherwise(F.col(right))
-    bad = chosen("bound_bad", "plain_bad")
-    error = F.raise_error(F.concat(F.lit("no batch stamp in "), bad)).cast("long")
-    return tried.select(F.when(bad.isNotNull(), error).otherwise(chosen("bound", "plain")).alias("newest"))
+    bad, newest = chosen("bound_bad", "plain_bad"), chosen("bound", "plain")
+    error = lambda text: F.raise_error(text).cast("long")
+    checked = F.when(bad.isNotNull(), error(F.concat(F.lit("no batch stamp in "), bad))).otherwise(
+        F.coalesce(newest, error(F.lit("no matching files")))
+    )
+    return tried.select(checked.alias("newest"))
 
 
 def batch_candidates(files: DataFrame, stem: str = STEM, key: str = "key") -> DataFrame:
@@ -50,9 +54,11 @@ def batch_candidates(files: DataFrame, stem: str = STEM, key: str = "key") -> Da
 
 
 def oldest_datestamp(files: DataFrame, prefix: str = "", key: str = "key") -> DataFrame:
-    """One row: the earliest datestamp among the keys. Stamps compare as text."""
+    """One row: the earliest datestamp among the keys. Stamps compare as text; none at all is an error."""
     stamps = with_prefix(files, prefix, key).select(key_datestamp(F.col(key)).alias("stamp"))
-    return stamps.agg(F.min("stamp").alias("stamp")).select(parse_datestamp(F.col("stamp")).alias("oldest"))
+    oldest = stamps.agg(F.min("stamp").alias("stamp"))
+    found = F.coalesce("stamp", F.raise_error(F.lit("no datestamps")).cast("string"))
+    return oldest.select(parse_datestamp(found).alias("oldest"))
 
 
 def prepared_keys(files: DataFrame, source: str, suffix: str, destination: str, key: str = "key") -> DataFrame:
@@ -102,7 +108,7 @@ def relocations(files: DataFrame, key: str = "key") -> DataFrame:
 
 def unprocessed(files: DataFrame, processed: DataFrame, key: str = "key") -> DataFrame:
     """Files not yet in the ledger of processed ones."""
-    return files.join(processed.select(key), key, "left_anti")
+    return files.join(processed.select(key).distinct(), key, "left_anti")
 
 
 def archived(files: DataFrame, stamp: Column, folder: str = "archive", key: str = "key") -> DataFrame:

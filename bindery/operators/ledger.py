@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from bindery.functions.keys import BLANKS
+from bindery.functions.values import parse_list
 from bindery.operators.positions import numbered
 from bindery.session import stored
 
@@ -17,6 +19,7 @@ OK, SKIPPED, FAILED = "OK", "SKIPPED", "FAILED"
 SKIP_FROM_LAST, SKIP_INCLUDED, SKIP_MATCHING = "skip_from_last", "skip_included", "skip_matching"
 ALREADY_GONE = "Could not find collection"
 KEEP_LAST = 1
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def matches_start(text: Column, pattern: str) -> Column:
@@ -24,6 +27,14 @@ def matches_start(text: Column, pattern: str) -> Column:
     return text.rlike(f"^(?:{pattern})")
 
 
+def read_ledgers(state: DataFrame) -> DataFrame:
+    """Ledger rows out of state values that hold lists. A blank value is an empty ledger."""
+    entries = F.posexplode(parse_list(F.col("value"))).alias("place", "entry")
+    return state.select(F.col("key").alias("ledger"), entries).select(
+        "ledger", (F.col("place") + 1).cast("long").alias("pos"), F.col("entry").alias("value")
+    )
+
+
 def push(
     ledger: DataFrame, pushed: DataFrame, unique: bool = True, skip_blank: bool = True
 ) -> DataFrame:
@@ -51,11 +62,16 @@ def last_cut(items: DataFrame, keep_last: int) -> DataFrame:
     """Position from which a ledger's last ``keep_last`` rows start.
 
     The rank filter is a group limit: every task keeps that many rows per ledger before the shuffle.
+    Spark does that up to a number of rows it takes from its settings; beyond it rows are numbered.
     """
-    last_first = Window.partitionBy("ledger").orderBy(F.desc("pos"))
-    last = items.select("ledger", "pos", F.row_number().over(last_first).alias("_rank"))
-    cut = last.filter(F.col("_rank") <= keep_last).groupBy("ledger").agg(F.min("pos").alias("_cut"))
-    return stored(cut, "cut")
+    rows = items.select("ledger", "pos")
+    if keep_last <= int(items.sparkSession.conf.get(GROUP_LIMIT)):
+        last_first = Window.partitionBy("ledger").orderBy(F.desc("pos"))
+        last = rows.withColumn("_rank", F.row_number().over(last_first)).filter(F.col("_rank") <= keep_last)
+    else:
+        placed = numbered(rows, ["pos"], ["ledger"], into="_at", total="_of")
+        last = placed.filter(F.col("_at") > F.col("_of") - keep_last)
+    return stored(last.groupBy("ledger").agg(F.min("pos").alias("_cut")), "cut")
 
 
 def prune_status(
@@ -67,15 +83,19 @@ def prune_status(
     ``items`` has ``ledger``, ``pos``, ``name``, and the outcome of an attempt in ``ok`` and
     ``failure``. The last rows by position are kept before any other rule; then names in the list,
     then names that match the pattern; what remains succeeded or failed. ``included`` is a short list,
-    or a frame with a ``name`` column.
+    or a frame with a ``name`` column. A blank name in the list is an error, since it hints at a list
+    that was meant to protect something.
     """
+    if not isinstance(included, DataFrame) and any(name is None or name in BLANKS for name in included):
+        raise ValueError("blank name in the list of names to skip")
     kept, listed = F.lit(False), F.lit(False)
     rows = items
     if keep_last:
         rows = rows.join(last_cut(items, keep_last), "ledger", "left")
         kept = F.col("pos") >= F.col("_cut")
     if isinstance(included, DataFrame):
-        names = included.select(F.col("name").alias("_listed")).distinct()
+        # Written for the same reasons as the cut: a known size, and a join that can split a hot name.
+        names = stored(included.select(F.col("name").alias("_listed")).distinct(), "listed")
         rows = rows.join(names, rows["name"] == names["_listed"], "left")
         listed = F.col("_listed").isNotNull()
     elif included:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bindery.functions.fields import append_fields, parent_fields, subfield_values, trimmed_id, valid_child_id
 from bindery.functions.packed_xml import pack_fields, parse_field, split_fields
+from bindery.session import stored
 
 
 def explode_children(records: DataFrame) -> DataFrame:
@@ -66,12 +67,14 @@ def first_match(lookup: DataFrame) -> DataFrame:
 def enrich_with_parents(records: DataFrame, lookup: DataFrame) -> DataFrame:
     """Append the first parent's fields to every record in the lookup; others pass unchanged.
 
-    Left join on the numeric id with one lookup row per child, so no record is multiplied. No side
-    is forced into a broadcast: a lookup read from files has a known size, and Catalyst broadcasts it
-    below the session's threshold. Above it the join is a sort-merge join, where the adaptive skew
-    rule splits a record id that holds many records. A record without a numeric id has no match.
+    Left join on the numeric id with one lookup row per child, so no record is multiplied. These rows
+    are written first. So their size is known, and Catalyst broadcasts them only below the session's
+    threshold. And above it both sides of the sort-merge join come straight from a shuffle, without
+    which the adaptive skew rule would not split a record id that holds many records. A record without
+    a numeric id has no match.
     """
-    parents = first_match(lookup).select(F.col("child_id").alias("_child"), F.col("fields").alias("_fields"))
+    first = first_match(lookup).select(F.col("child_id").alias("_child"), F.col("fields").alias("_fields"))
+    parents = stored(first, "parents")
     joined = records.join(parents, records["record_id"].try_cast("long") == parents["_child"], "left")
     kept = [records[name] for name in records.columns if name != "datafield"]
     return joined.select(*kept, append_fields(records["datafield"], F.col("_fields")).alias("datafield"))

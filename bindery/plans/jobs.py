@@ -10,22 +10,17 @@ from bindery.operators.changes import (
     apply_net, change_counts, classify_batch, harvest, net_changes, route_changes,
 )
 from bindery.operators.ledger import prune_status, push, remaining
-from bindery.operators.lookup import build_lookup, enrich_with_parents, explode_children
+from bindery.operators.lookup import enrich_with_parents, explode_children
 from bindery.plans.thesis import xoai_to_marc
 from bindery.session import stored
-from bindery.sinks.files import write_marcxml
+from bindery.sinks.files import write_cleaned, write_marcxml
 from bindery.sources.archives import read_archives
 from bindery.sources.xml import read_oai_marcxml, read_xoai
 
 
-def prepared_records(records: DataFrame, parents: DataFrame) -> DataFrame:
-    """Records with their parents' fields. The lookup is written first, so the join knows its size."""
-    return enrich_with_parents(records, stored(explode_children(parents), "lookup"))
-
-
 def full_rebuild(spark: SparkSession, records_path: str, parents_path: str, out: str) -> DataFrame:
     """Unpack, enrich and write all records; returns what was written."""
-    prepared = prepared_records(read_archives(spark, records_path), read_archives(spark, parents_path))
+    prepared = enrich_with_parents(read_archives(spark, records_path), explode_children(read_archives(spark, parents_path)))
     prepared.write.parquet(out)
     return spark.read.schema(prepared.schema).parquet(out)
 
@@ -35,7 +30,7 @@ def incremental_harvest(
     sets: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """New snapshot, and the counts and branch of the batch."""
-    lookup = stored(explode_children(read_oai_marcxml(spark, parents)), "lookup")
+    lookup = explode_children(read_oai_marcxml(spark, parents))
     records = read_oai_marcxml(spark, harvested)
     records = harvest(records, since, until, sets, transform=lambda df: enrich_with_parents(df, lookup))
     changes = route_changes(
@@ -50,9 +45,14 @@ def incremental_harvest(
     return apply_net(snapshot, net, "record_id"), counts
 
 
-def thesis_mapping(spark: SparkSession, path: str, out: str, run_date: Column, records_per_file: int = 1000) -> DataFrame:
-    """Read repository records, map them, and write them as XML."""
-    mapped = xoai_to_marc(read_xoai(spark, path).filter(~F.col("deleted")), run_date, ["src_key", "rec_pos", "oai_id"])
+def thesis_mapping(
+    spark: SparkSession, path: str, out: str, run_date: Column, cleaned: str | None = None, records_per_file: int = 1000
+) -> DataFrame:
+    """Read repository records, map them, and write them as XML. With ``cleaned``, keep that form too."""
+    records = read_xoai(spark, path).filter(~F.col("deleted"))
+    if cleaned:
+        write_cleaned(records, cleaned, records_per_file)
+    mapped = xoai_to_marc(records, run_date, ["src_key", "rec_pos", "oai_id"])
     write_marcxml(mapped.withColumnRenamed("oai_id", "airflow_record_id"), out, records_per_file=records_per_file)
     return mapped
 

@@ -39,8 +39,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/bindery/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder."""
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/bindery/{spark.sparkContext.applicationId}"
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Remove what this application stored. For the end of a job, when no frame on it is used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from bindery.functions.keys import HARVEST_FORMAT
 from bindery.functions.packed_xml import NAMESPACE
 from bindery.sources.drops import CSV_QUOTING
 
@@ -60,6 +61,18 @@ def write_marcxml(
     writer.save(path)
 
 
+def write_cleaned(records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+    """Repository records without name spaces and with a single metadata wrapper."""
+    header = F.struct(
+        F.when(F.col("deleted"), "deleted").alias("_status"), F.col("oai_id").alias("identifier"),
+        F.date_format("datestamp", HARVEST_FORMAT).alias("datestamp"), F.col("sets").alias("setSpec"),
+    )
+    columns = [F.col("oai_id").alias("_airflow-record-id"), header.alias("header"), F.struct("element").alias("metadata")]
+    records.select(*columns).write.format("xml").options(
+        rootTag="collection", rowTag="record", attributePrefix="_", valueTag="_VALUE", maxRecordsPerFile=records_per_file
+    ).save(path)
+
+
 def write_chunked(df: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
     """At most ``records_per_file`` rows in each Parquet file."""
     df.write.option("maxRecordsPerFile", records_per_file).parquet(path)

@@ -55,6 +55,26 @@ def test_precedence(spark):
     assert [r[1] for r in shown(L.prune_status(given, 9))] == ["SKIPPED"] * 4
 
 
+def test_many_kept(spark):
+    """More rows kept than the group limit takes."""
+    many = spark.range(1, 5001).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("hot").alias("ledger"), F.col("id").alias("pos"),
+        F.col("id").cast("string").alias("name"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("failure"),
+    )
+    out = L.prune_status(many, 1500).filter(F.col("status") == "SKIPPED").groupBy("ledger").agg(F.count("*").alias("n"), F.min("pos").alias("m"))
+    assert {r["ledger"]: (r["n"], r["m"]) for r in out.collect()} == {"a": (1500, 501), "hot": (1500, 2752)}
+
+
+def test_blank_in_skip_list(spark):
+    with pytest.raises(ValueError):
+        L.prune_status(items(spark, ("a", True, None)), 1, ["a", "None"])
+
+
+def test_stored_ledgers(spark):
+    state = spark.createDataFrame([("x", '["a", "b", "a"]'), ("y", ""), ("z", "None")], "key string, value string")
+    assert [tuple(r) for r in L.read_ledgers(state).collect()] == [("x", 1, "a"), ("x", 2, "b"), ("x", 3, "a")]
+
+
 def test_alternatives_are_anchored_together(spark):
     out = spark.range(1).select(L.matches_start(F.lit("xb"), "a|b").alias("m")).first()
     assert out["m"] is False

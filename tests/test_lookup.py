@@ -110,11 +110,22 @@ def test_hot_child_and_hot_record(spark):
         F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, "7").otherwise((F.col("id") + 100).cast("string")).alias("record_id"),
         F.array().cast(field).alias("datafield"),
     )
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
     try:
-        out = L.enrich_with_parents(records, lookup).select("n", F.col("datafield")[0]["subfield"][0]["value"].alias("p")).collect()
+        frame = L.enrich_with_parents(records.repartition(8), lookup).select("n", F.col("datafield")[0]["subfield"][0]["value"].alias("p"))
+        out = frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in small:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "skew=true" in plan  # the hot id is split over several tasks
     assert len(out) == 9000
     assert all(r["p"] == ("29997" if r["n"] % 3 == 0 else str(r["n"])) for r in out)
 

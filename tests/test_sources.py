@@ -39,6 +39,10 @@ def test_candidates(spark):
     files = spark.createDataFrame([(n,) for n in names], "key string")
     assert [r["key"] for r in O.batch_candidates(files).collect()] == ["alma_bibs__20200505031_3"]
     assert O.batch_candidates(files.filter(~F.endswith("key", F.lit("_3")))).count() == 2
+    with pytest.raises(Exception, match="no matching files"):
+        O.batch_candidates(files.filter("key = 'other'")).collect()
+    with pytest.raises(Exception, match="no datestamps"):
+        O.oldest_datestamp(files.filter("key = 'other'")).collect()
     with pytest.raises(Exception, match="no batch stamp"):
         O.newest_batch(spark.createDataFrame([("alma_bibs__20x_1",)], "key string")).collect()
 
@@ -193,7 +197,13 @@ def test_bare_thesis(spark, tmp_path):
 def test_thesis_job(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "t.xml").write_text(full_thesis())
-    mapped = jobs.thesis_mapping(spark, str(tmp_path / "in"), str(tmp_path / "out"), F.lit("2024-02-01").cast("date"))
+    mapped = jobs.thesis_mapping(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), F.lit("2024-02-01").cast("date"), str(tmp_path / "cleaned")
+    )
+    cleaned = next((tmp_path / "cleaned").glob("*.xml")).read_text()
+    assert "xmlns" not in cleaned and cleaned.count("<metadata>") == 1 and '<element name="dc">' in cleaned
+    same = lambda path: read_xoai(spark, str(path)).drop("src_key", "rec_pos").collect()
+    assert same(tmp_path / "cleaned") == same(tmp_path / "in")
     back = read_marcxml(spark, str(tmp_path / "out"))
     assert lines(back.first()) == lines(mapped.first())
     assert 'airflow-record-id="oai:s:1"' in next((tmp_path / "out").glob("*.xml")).read_text()

@@ -121,3 +121,19 @@ def prune_outcomes(spark, sf_dir):
     """Both follow-up frames, joined for the comparison."""
     done, failed = L.outcomes(processed(spark, sf_dir))
     return done.unionByName(failed).select("ledger", "pos", "name", "status")
+
+
+@query("stored_ledgers", """
+SELECT ledger, place + 1 AS pos, value FROM (
+  SELECT ledger, unnest(range(len(l))) AS place, unnest(l) AS value FROM (
+    SELECT event_id AS ledger, [event_type, 'user-' || user_id, event_type] AS l FROM events WHERE value >= 5))
+""")
+def stored_ledgers(spark, sf_dir):
+    """Ledgers held as list text, one to an event."""
+    entries = F.concat(
+        F.lit('["'), F.col("event_type"), F.lit('", "user-'), F.col("user_id").cast("string"), F.lit('", "'), F.col("event_type"), F.lit('"]')
+    )
+    state = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("key"), F.when(F.col("value") < 3, "").when(F.col("value") < 5, "None").otherwise(entries).alias("value")
+    )
+    return L.read_ledgers(state)

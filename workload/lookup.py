@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bindery.functions.fields import fields_with_tag, make_datafield, subfield, subfield_values, trimmed_id, valid_child_id
 from bindery.functions.packed_xml import pack_fields
 from bindery.operators import lookup as O
+from bindery.operators.changes import harvest
+from bindery.operators.snapshots import publish_snapshot, read_snapshot
 from bindery.schemas import DATAFIELDS
-from bindery.session import shared_path, stored
-from bindery.sinks.files import write_chunked, write_lookup, write_marcxml, write_routed
+from bindery.session import shared_path
+from bindery.sinks.files import write_chunked, write_cleaned, write_lookup, write_marcxml, write_routed
 from bindery.sources.archives import expand_archives, parse_records
-from bindery.sources.drops import read_csv_drop, read_json_drop, read_lookup
-from bindery.sources.xml import read_marcxml
+from bindery.sources.drops import list_files, read_csv_drop, read_json_drop, read_lookup
+from bindery.sources.xml import read_marcxml, read_oai_marcxml, read_xoai
 from workload.registry import query, table
 
 
@@ -162,7 +164,7 @@ def shown(records: DataFrame) -> DataFrame:
 
 @query("lookup_enrich", f"WITH {LINES} {ENRICHED}")
 def lookup_enrich(spark, sf_dir):
-    lookup = stored(O.explode_children(document_records(spark, sf_dir)), "lookup")
+    lookup = O.explode_children(document_records(spark, sf_dir))
     return shown(O.enrich_with_parents(child_records(spark, sf_dir), lookup))
 
 
@@ -178,7 +180,7 @@ def lookup_file_enrich(spark, sf_dir):
     order = records.select(F.col("record_id").cast("long").alias("parent_id"), "src_key", "rec_pos")
     lookup = O.unpack_lookup(read_lookup(spark, path)).join(order, "parent_id")
     lookup = lookup.withColumn("ord", F.struct("src_key", "rec_pos")).drop("src_key", "rec_pos")
-    return shown(O.enrich_with_parents(child_records(spark, sf_dir), stored(lookup, "lookup")))
+    return shown(O.enrich_with_parents(child_records(spark, sf_dir), lookup))
 
 
 @query("packed_nodes", f"""
@@ -275,3 +277,99 @@ def routed_files(spark, sf_dir):
     )
     write_routed(rows, path)
     return spark.read.parquet(path).select("change", "event_id", "user_id")
+
+
+@query("enriched_harvest", f"""
+WITH {LINES}, e AS ({ENRICHED})
+SELECT e.* FROM e WHERE TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id) BETWEEN TIMESTAMP '2024-01-01 01:00:00' AND TIMESTAMP '2024-02-10 00:00:00'
+""")
+def enriched_harvest(spark, sf_dir):
+    """A harvest window whose records pass through the caller's step, here the lookup join."""
+    lookup = O.explode_children(document_records(spark, sf_dir))
+    stamp = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(doc_id), 0)")
+    records = child_records(spark, sf_dir).withColumn("datestamp", stamp)
+    bound = lambda text: F.expr(f"timestamp_ntz'{text}'")
+    return shown(harvest(
+        records, bound("2024-01-01 01:00:00"), bound("2024-02-10 00:00:00"),
+        transform=lambda df: O.enrich_with_parents(df, lookup),
+    ))
+
+
+OAI_ROWS = """
+SELECT doc_id, 'oai:docs:' || doc_id AS oai_id, '2024-01-01 10:20:30' AS datestamp, lang || '|' || source AS sets, lang = 'de' AS deleted,
+       CASE lang WHEN 'de' THEN '' ELSE text END AS text
+FROM documents
+"""
+
+
+def write_harvested(spark, sf_dir, path: str, body: Column, prefix: str, names: str) -> None:
+    """Harvest records, one to a document, with prefixed names. German ones are deleted and have no body."""
+    gone, name = F.col("lang") == "de", lambda tag: f"{prefix}{tag}"
+    header = F.struct(
+        F.when(gone, "deleted").alias("_status"),
+        F.concat(F.lit("oai:docs:"), F.col("doc_id").cast("string")).alias(name("identifier")),
+        F.lit("2024-01-01T10:20:30Z").alias(name("datestamp")), F.array("lang", "source").alias(name("setSpec")),
+    )
+    rows = table(spark, sf_dir, "documents").select(header.alias(name("header")), F.when(~gone, body).alias(name("metadata")))
+    rows.write.format("xml").options(
+        rootTag=f"collection {names}", rowTag=name("record"), attributePrefix="_", valueTag="_VALUE", validateName="false", maxRecordsPerFile=1000
+    ).save(path)
+
+
+def harvested_columns(text: Column) -> list[Column]:
+    return [
+        F.regexp_extract("oai_id", "([0-9]+)$", 1).cast("long").alias("doc_id"), F.col("oai_id"),
+        F.date_format("datestamp", "yyyy-MM-dd HH:mm:ss").alias("datestamp"), F.array_join("sets", "|").alias("sets"), F.col("deleted"),
+        F.coalesce(text, F.lit("")).alias("text"),
+    ]
+
+
+@query("oai_records", OAI_ROWS)
+def oai_records(spark, sf_dir):
+    """Harvested bibliographic records, written with name spaces and read back."""
+    path = shared_path(spark, "oai")
+    part = F.struct(F.lit("a").alias("_code"), F.col("text").alias("_VALUE"))
+    field = F.struct(F.lit("500").alias("_tag"), F.lit(" ").alias("_ind1"), F.lit(" ").alias("_ind2"), F.array(part).alias("m:subfield"))
+    body = F.struct(F.struct(F.array(field).alias("m:datafield")).alias("m:record"))
+    names = 'xmlns="http://www.openarchives.org/OAI/2.0/" xmlns:m="http://www.loc.gov/MARC21/slim"'
+    write_harvested(spark, sf_dir, path, body, "", names)
+    value = F.get(F.get("datafield", F.lit(0))["subfield"], F.lit(0))["value"]
+    return read_oai_marcxml(spark, path).select(*harvested_columns(value))
+
+
+@query("xoai_cleaned", OAI_ROWS)
+def xoai_cleaned(spark, sf_dir):
+    """Repository records with name spaces and a doubled wrapper: read, written in clean form, read again."""
+    path, cleaned = shared_path(spark, "xoai"), shared_path(spark, "cleaned")
+    field = F.struct(F.lit("value").alias("_name"), F.col("text").alias("_VALUE"))
+    inner = F.struct(F.lit("none").alias("_name"), F.array(field).alias("field"))
+    for name in ("title", "dc"):
+        inner = F.struct(F.lit(name).alias("_name"), F.array(inner).alias("element"))
+    body = F.struct(F.struct(F.lit("http://www.lyncode.com/xoai").alias("_xmlns"), F.array(inner).alias("element")).alias("metadata"))
+    write_harvested(spark, sf_dir, path, body, "o:", 'xmlns:o="http://www.openarchives.org/OAI/2.0/"')
+    write_cleaned(read_xoai(spark, path), cleaned)
+    title = F.get(F.get(F.get("element", F.lit(0))["element"], F.lit(0))["element"], F.lit(0))["field"]
+    return read_xoai(spark, cleaned).select(*harvested_columns(F.get(title, F.lit(0))["_VALUE"]))
+
+
+@query("listed_folders", """
+SELECT DISTINCT CASE WHEN event_type = 'error' THEN 'change=deleted' ELSE 'change=new-updated' END AS folder, true AS has_bytes FROM events
+""")
+def listed_folders(spark, sf_dir):
+    """Files below a prefix, listed without reading them."""
+    path = shared_path(spark, "listed")
+    gone = F.when(F.col("event_type") == "error", "deleted").otherwise("new-updated")
+    write_routed(table(spark, sf_dir, "events").withColumn("change", gone), path)
+    files = list_files(spark, path, "change=", "").filter(F.endswith("key", F.lit(".parquet")))
+    return files.groupBy(F.substring_index("key", "/", 1).alias("folder")).agg((F.min("size") > 0).alias("has_bytes"))
+
+
+@query("published_snapshot", """
+SELECT o_orderkey, o_orderstatus FROM orders
+""")
+def published_snapshot(spark, sf_dir):
+    """Two snapshots published under one alias: readers get the second."""
+    root = shared_path(spark, "published")
+    publish_snapshot(table(spark, sf_dir, "nation"), root, "first", "live", 1)
+    publish_snapshot(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), root, "second", "live", 2)
+    return read_snapshot(spark, root, "live")
