@@ -143,3 +143,18 @@ def test_one_folder_per_input(spark, tmp_path, children):
     write_marcxml(keyed, str(tmp_path / "by"), by="name", records_per_file=2)
     assert len(list((tmp_path / "by" / "name=a").glob("*.xml"))) == 1
     assert len(list((tmp_path / "by" / "name=b").glob("*.xml"))) == 2
+
+
+def test_stream_enriched(spark, tmp_path, parents, children):
+    """The lookup join on a stream of records, through the harvest's own step."""
+    from bindery.operators.changes import harvest
+    from bindery.streaming.apply import stream_harvest
+
+    stamped = children.withColumn("datestamp", F.when(F.col("record_id") == "on123", 1).otherwise(5))
+    stamped.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = stream_harvest(spark, str(tmp_path / "in"), stamped.schema)
+    found = harvest(stream, since=F.lit(2), transform=lambda df: L.enrich_with_parents(df, L.explode_children(parents)))
+    query = found.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True)
+    query.start(str(tmp_path / "out")).awaitTermination()
+    out = enriched(spark.read.parquet(str(tmp_path / "out")))
+    assert out[R.CHILD][1:] == [("ITM", ["p3 item"]), ("HLD", ["p_remote"]), ("ADF", [R.P3])] and "on123" not in out and len(out) == 3
