@@ -29,12 +29,22 @@ def seconds(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - started
 
 
+def shuffled(spark) -> int:
+    """Bytes written to shuffles so far."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     times = {}
     for name in HEADLINE:
+        before = shuffled(spark)
         seconds(spark, name, sf_dir)  # compile and warm caches
+        if os.environ.get("BENCH_DETAIL"):
+            moved, rows = shuffled(spark) - before, QUERIES[name](spark, sf_dir).count()
+            print(f"{name}: {rows} rows, {moved} bytes shuffled", file=sys.stderr, flush=True)
         times[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(RUNS)), 3)
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": sf}))

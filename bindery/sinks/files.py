@@ -14,8 +14,11 @@ BOUNDWITH_RECORDS_PER_FILE = 10000
 
 
 def write_lookup(lookup: DataFrame, path: str) -> None:
-    """Child lookup as CSV. The header is written even without rows."""
-    columns = lookup.select("child_id", "parent_id", "parent_xml")
+    """Child lookup as CSV, in lookup order, on which the first match rests.
+
+    The header is written even without rows. Rows are sorted over all tasks, one file each.
+    """
+    columns = lookup.orderBy("ord").select("child_id", "parent_id", "parent_xml")
     # A frame without partitions writes no file at all, so keep one for the header.
     if columns.isEmpty():
         columns = columns.coalesce(1)

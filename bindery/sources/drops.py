@@ -27,8 +27,13 @@ def list_files(spark: SparkSession, path: str, prefix: str = "", delimiter: str
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """The child lookup file; attributes in its XML column are quote-doubled."""
-    return spark.read.options(**CSV_QUOTING).schema(LOOKUP_CSV).csv(path)
+    """The child lookup file; attributes in its XML column are quote-doubled.
+
+    ``ord`` is the place of a row: its file, then its place in it. Files are read whole and in order.
+    """
+    rows = spark.read.options(**CSV_QUOTING).schema(LOOKUP_CSV).csv(path)
+    place = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
+    return rows.withColumn("ord", place)
 
 
 def read_csv_drop(spark: SparkSession, path: str, schema: str) -> DataFrame:

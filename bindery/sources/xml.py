@@ -11,14 +11,24 @@ from bindery.schemas import (
 )
 
 
+REJECTED = "rejected"
+
+
 def _read(spark: SparkSession, path: str | list[str], schema: str, mode: str) -> DataFrame:
-    reader = spark.read.format("xml").schema(schema).options(rowTag="record", mode=mode, **KEEP_TEXT)
+    """Raw records. A file that is not well-formed fails the job, or in PERMISSIVE mode gives a row with its text."""
+    reader = spark.read.format("xml").schema(f"{schema}, {REJECTED} string").options(
+        rowTag="record", mode=mode, columnNameOfCorruptRecord=REJECTED, **KEEP_TEXT
+    )
     return reader.load(path).withColumns(
         # Files are read whole and in order, so the row id grows with the position in a file.
         {"src_key": F.input_file_name(), "rec_pos": F.monotonically_increasing_id()}
     )
 
 
+def _position(mode: str) -> list[str]:
+    return ["src_key", "rec_pos", REJECTED] if mode == "PERMISSIVE" else ["src_key", "rec_pos"]
+
+
 def controlfields(raw: Column) -> Column:
     made = F.transform(
         raw, lambda f: F.struct(f["_tag"].alias("tag"), F.coalesce(f["_VALUE"], F.lit("")).alias("value"))
@@ -50,10 +60,13 @@ def marc_columns(leader: Column, control: Column, data: Column) -> list[Column]:
 
 
 def read_marcxml(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
-    """Records of a collection, with or without the name space."""
+    """Records of a collection, with or without the name space.
+
+    In PERMISSIVE mode unreadable records stay as rows with their text in ``rejected``.
+    """
     raw = _read(spark, path, XML_MARC, mode)
     return raw.select(
-        "src_key", "rec_pos", *marc_columns(F.col("leader"), F.col("controlfield"), F.col("datafield"))
+        *_position(mode), *marc_columns(F.col("leader"), F.col("controlfield"), F.col("datafield"))
     )
 
 
@@ -71,7 +84,7 @@ def read_oai_marcxml(spark: SparkSession, path: str | list[str], mode: str = "FA
     raw = _read(spark, path, XML_OAI_MARC, mode)
     inner = F.col("metadata.record")
     return raw.select(
-        "src_key", "rec_pos", *_header(),
+        *_position(mode), *_header(),
         *marc_columns(inner["leader"], inner["controlfield"], inner["datafield"]),
     )
 
@@ -80,7 +93,7 @@ def read_xoai(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST"
     """Repository records. Name spaces go at the scan; a doubled metadata wrapper is taken off."""
     raw = _read(spark, path, XML_XOAI, mode)
     return raw.select(
-        "src_key", "rec_pos", *_header(),
+        *_position(mode), *_header(),
         F.coalesce(
             F.col("metadata.metadata.element"), F.col("metadata.element"), F.array().cast(xoai_elements())
         ).alias("element"),

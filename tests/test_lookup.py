@@ -65,17 +65,30 @@ def test_enrich(parents, children):
 
 def test_lookup_file(spark, tmp_path, parents, children):
     write_lookup(L.build_lookup(parents), str(tmp_path / "lookup"))
-    read = L.unpack_lookup(read_lookup(spark, str(tmp_path / "lookup"))).withColumn("ord", -F.col("parent_id"))
+    read = L.unpack_lookup(read_lookup(spark, str(tmp_path / "lookup")))
     assert read.count() == 11
-    out = enriched(L.enrich_with_parents(children, read))
-    assert out[R.CHILD][1:] == [("ITM", ["p3 item"]), ("HLD", ["p_remote"]), ("ADF", [R.P3])]
+    assert enriched(L.enrich_with_parents(children, read)) == enriched(L.enrich_with_parents(children, L.explode_children(parents)))
+
+
+def test_lookup_file_keeps_its_order(spark, tmp_path):
+    """Many rows of one child over several files: the first row of the first file wins."""
+    rows = spark.range(5000).repartition(6).select(
+        (F.col("id") % 3).alias("child_id"), F.col("id").alias("parent_id"), F.lit("<datafield tag='x'/>").alias("parent_xml"),
+        (5000 - F.col("id")).alias("ord"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_lookup(rows, str(tmp_path / "many"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "many").glob("*.csv"))) > 1
+    first = L.first_match(read_lookup(spark, str(tmp_path / "many"))).collect()
+    assert {r["child_id"]: r["parent_id"] for r in first} == {0: 4998, 1: 4999, 2: 4997}
 
 
 def test_lookup_file_without_rows(spark, tmp_path, parents, children):
     write_lookup(L.build_lookup(parents.limit(0)), str(tmp_path / "empty"))
     files = list((tmp_path / "empty").glob("*.csv"))
     assert files and files[0].read_text() == "child_id,parent_id,parent_xml\n"
-    none = L.unpack_lookup(read_lookup(spark, str(tmp_path / "empty"))).withColumn("ord", F.lit(0))
+    none = L.unpack_lookup(read_lookup(spark, str(tmp_path / "empty")))
     assert enriched(L.enrich_with_parents(children, none))[R.CHILD] == [("245", ["A & B <i>"])]
 
 

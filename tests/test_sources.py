@@ -99,6 +99,11 @@ def test_bad_xml_stops_the_job(spark, tmp_path):
     (tmp_path / "bad.xml").write_text("<collection><record><leader>x</record></collection>")
     with pytest.raises(Exception):
         read_marcxml(spark, str(tmp_path / "bad.xml")).collect()
+    (tmp_path / "good.xml").write_text(R.CHILDREN)
+    both = read_marcxml(spark, [str(tmp_path / "bad.xml"), str(tmp_path / "good.xml")], mode="PERMISSIVE").cache()
+    assert both.filter("rejected IS NULL").count() == 4
+    rejects = both.filter("rejected IS NOT NULL").collect()
+    assert len(rejects) == 1 and "<leader>x" in rejects[0]["rejected"] and rejects[0]["src_key"].endswith("bad.xml")
 
 
 def test_full_rebuild(spark, tmp_path):

@@ -170,16 +170,10 @@ def lookup_enrich(spark, sf_dir):
 
 @query("lookup_file_enrich", f"WITH {LINES} {ENRICHED}")
 def lookup_file_enrich(spark, sf_dir):
-    """The same through the lookup file: packed XML written as CSV, read back and parsed.
-
-    A CSV file has no row order column, so the parents' place comes back by their id.
-    """
+    """The same through the lookup file: packed XML written as CSV in order, read back and parsed."""
     path = shared_path(spark, "lookup-csv")
-    records = document_records(spark, sf_dir)
-    write_lookup(O.build_lookup(records), path)
-    order = records.select(F.col("record_id").cast("long").alias("parent_id"), "src_key", "rec_pos")
-    lookup = O.unpack_lookup(read_lookup(spark, path)).join(order, "parent_id")
-    lookup = lookup.withColumn("ord", F.struct("src_key", "rec_pos")).drop("src_key", "rec_pos")
+    write_lookup(O.build_lookup(document_records(spark, sf_dir)), path)
+    lookup = O.unpack_lookup(read_lookup(spark, path))
     return shown(O.enrich_with_parents(child_records(spark, sf_dir), lookup))
 
 
