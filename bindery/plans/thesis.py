@@ -88,6 +88,8 @@ SOURCES = {
     "advisors": ("contributor", "advisor"), "committee": ("contributor", "committeemember"),
 }
 FIRST_OF_EACH = {"titles": ("title",), "orcid": ("creator", "orcid"), "abstracts": ("description", "abstract")}
+# Printed with all their values.
+PRINTED = ["issued", "embargo", "handle", "doi", "admin_id", "extent", "degree", "department", "rights", "rights_uri"]
 TESTED = {"filename": ("identifier", "filename"), "admin_id": ("identifier", "proqst"), "department": ("description", "department")}
 
 
@@ -104,12 +106,16 @@ def read_metadata(records: DataFrame, keep: list[str]) -> DataFrame:
     return each.select(*keep, *columns)
 
 
-def _field(tag: str, *parts: Column, ind1: str = " ", ind2: str | Column = " ") -> Column:
-    return F.array(make_datafield(tag, F.array(*parts), ind1, ind2))
+def _text(value: str) -> str:
+    """A constant as SQL text."""
+    return "'" + value.replace("'", "\\'") + "'"
 
 
-def _if(condition: Column, fields: Column) -> Column:
-    return F.when(condition, fields).otherwise(F.array().cast(DATAFIELDS))
+def _field(tag: str, *parts: tuple[str, str], ind1: str = " ", ind2: str = " ", when: str | None = None) -> Column:
+    """One field as an array, empty unless ``when`` holds. ``parts`` are codes and SQL expressions."""
+    made = ", ".join(f"named_struct('code', '{code}', 'value', {value})" for code, value in parts)
+    field = f"array(named_struct('tag', '{tag}', 'ind1', '{ind1}', 'ind2', '{ind2}', 'subfield', array({made})))"
+    return F.expr(f"if({when}, {field}, array())" if when else field)
 
 
 def _each(values: Column, build) -> Column:
@@ -156,59 +162,54 @@ def title_field(title: Column, author: Column) -> Column:
 def build_records(metadata: DataFrame, keep: list[str], run_date: Column) -> DataFrame:
     """Leader, control fields and data fields, in output order."""
     c = F.col
-    year = F.substr(_first(c("issued")), F.lit(1), F.lit(4))
-    code = map_language(_first(c("language")))
-    language = F.when(normalize_space(_first(c("language"))) == "", UNDETERMINED).otherwise(code)
-    metadata = metadata.withColumns({"year": year, "thesis_language": language})
-    year, language = c("year"), c("thesis_language")
+    language = F.when(normalize_space(_first(c("language"))) == "", UNDETERMINED).otherwise(map_language(_first(c("language"))))
+    metadata = metadata.withColumns(
+        {
+            "year": F.substr(_first(c("issued")), F.lit(1), F.lit(4)), "thesis_language": language, "run_day": short_date(run_date),
+            "file_id": filename_id(_first(c("filename"))), "item_id": clean_item_id(_first(c("doi"))),
+            **{name: _joined(c(name)) for name in PRINTED}, "has_doi": F.size("doi") > 0, "has_embargo": F.size("embargo") > 0,
+        }
+    )
     orcid = F.get(c("orcid"), F.lit(0))
+    day_etc = F.expr(f"concat(run_day, 's', year, {_text(CONTROL_008_MIDDLE)}, thesis_language, {_text(CONTROL_008_END)})")
     control = F.array(
         *[
             F.struct(F.lit(tag).alias("tag"), value.alias("value"))
-            for tag, value in (
-                ("006", F.lit(CONTROL_006)), ("007", F.lit(CONTROL_007)),
-                ("008", F.concat(short_date(run_date), F.lit("s"), year, F.lit(CONTROL_008_MIDDLE), language, F.lit(CONTROL_008_END))),
-            )
+            for tag, value in (("006", F.lit(CONTROL_006)), ("007", F.lit(CONTROL_007)), ("008", day_etc))
         ]
     )
-    note = lambda text: make_datafield("500", F.array(subfield("a", normalize_space(text))))
+    note = lambda tag: lambda text: make_datafield(tag, F.array(subfield("a", normalize_space(text))))
     fields = [
-        _if(c("has_filename"), _field("024", subfield("a", filename_id(_first(c("filename")))), ind1="8")),
-        _if(c("has_admin_id"), _field("035", subfield("a", F.concat(F.lit(ADMIN_PREFIX), _joined(c("admin_id")))))),
-        _field("035", subfield("a", F.concat(F.lit(ITEM_PREFIX), clean_item_id(_first(c("doi")))))),
-        _field("040", subfield("a", "TEU"), subfield("b", "eng"), subfield("c", "TEU"), subfield("e", "rda")),
+        _field("024", ("a", "file_id"), ind1="8", when="has_filename"),
+        _field("035", ("a", f"concat({_text(ADMIN_PREFIX)}, admin_id)"), when="has_admin_id"),
+        _field("035", ("a", f"concat({_text(ITEM_PREFIX)}, item_id)")),
+        _field("040", ("a", "'TEU'"), ("b", "'eng'"), ("c", "'TEU'"), ("e", "'rda'")),
         author_fields(c("creators"), orcid),
         F.array(title_field(_first(c("titles")), _first(c("creators")))),
-        _field("264", subfield("a", PLACE), subfield("b", PUBLISHER), subfield("c", F.concat(year, F.lit(". "))), ind2="1"),
-        _field("300", subfield("a", F.concat(F.lit("1 online resource ("), _joined(c("extent")), F.lit(").")))),
-        *[_field(tag, subfield("a", kind), subfield("2", source)) for tag, kind, source in CONTENT_TYPES],
-        _each(c("notes"), note),
-        _field("502", subfield("b", _joined(c("degree"))), subfield("c", INSTITUTION), subfield("d", _joined(c("issued")))),
-        _if(c("has_department"), _field("500", subfield("a", F.concat(F.lit("Department: "), _joined(c("department")), F.lit("."))))),
-        _each(c("abstracts"), lambda text: make_datafield("520", F.array(subfield("a", normalize_space(text))))),
-        _field("504", subfield("a", BIBLIOGRAPHY)),
-        _field(
-            "506", subfield("a", "Free-to-read"), subfield("f", "Unrestricted online access"),
-            subfield("2", "star"), subfield("5", "PPT"), ind1="0",
-        ),
-        _field("540", subfield("a", _joined(c("rights"))), subfield("u", _joined(c("rights_uri")))),
-        F.transform(
+        _field("264", ("a", _text(PLACE)), ("b", _text(PUBLISHER)), ("c", "concat(year, '. ')"), ind2="1"),
+        _field("300", ("a", "concat('1 online resource (', extent, ').')")),
+        *[_field(tag, ("a", _text(kind)), ("2", _text(source))) for tag, kind, source in CONTENT_TYPES],
+        _each(c("notes"), note("500")),
+        _field("502", ("b", "degree"), ("c", _text(INSTITUTION)), ("d", "issued")),
+        _field("500", ("a", "concat('Department: ', department, '.')"), when="has_department"),
+        _each(c("abstracts"), note("520")),
+        _field("504", ("a", _text(BIBLIOGRAPHY))),
+        _field("506", ("a", "'Free-to-read'"), ("f", "'Unrestricted online access'"), ("2", "'star'"), ("5", "'PPT'"), ind1="0"),
+        _field("540", ("a", "rights"), ("u", "rights_uri")),
+        _each(
             F.flatten(F.transform(c("subjects"), split_keywords)),
             lambda word: make_datafield("653", F.array(subfield("a", word))),
         ),
-        _if(c("has_department"), _field("690", subfield("a", _joined(c("department"))), subfield("x", THESES_OF), ind2="4")),
-        _field("690", subfield("a", INSTITUTION), subfield("x", THESES), ind2="4"),
-        _field("655", subfield("a", "Academic theses."), subfield("2", "lcgft"), ind2="7"),
+        _field("690", ("a", "department"), ("x", _text(THESES_OF)), ind2="4", when="has_department"),
+        _field("690", ("a", _text(INSTITUTION)), ("x", _text(THESES)), ind2="4"),
+        _field("655", ("a", "'Academic theses.'"), ("2", "'lcgft'"), ind2="7"),
         _people(c("advisors"), "advisor"),
         _people(c("committee"), "committee member"),
-        _field("973", subfield("t", COLLECTION), ind1="0", ind2="8"),
-        _field(
-            "856", subfield("u", F.when(F.size("doi") > 0, _joined(c("doi"))).otherwise(_joined(c("handle")))),
-            subfield("z", ACCESS), ind1="4", ind2="0",
-        ),
-        _if(language != ENGLISH, _field("902", subfield("a", F.concat(F.lit("Language check: '"), language, F.lit("'"))))),
-        _if(F.size("embargo") > 0, _field("902", subfield("a", F.concat(F.lit("EMBARGO LIFT: "), _joined(c("embargo")))))),
-        _if(c("supplement"), _field("902", subfield("a", SUPPLEMENT_NOTE))),
+        _field("973", ("t", _text(COLLECTION)), ind1="0", ind2="8"),
+        _field("856", ("u", "if(has_doi, doi, handle)"), ("z", _text(ACCESS)), ind1="4", ind2="0"),
+        _field("902", ("a", "concat('Language check: \\'', thesis_language, '\\'')"), when=f"thesis_language <> {_text(ENGLISH)}"),
+        _field("902", ("a", "concat('EMBARGO LIFT: ', embargo)"), when="has_embargo"),
+        _field("902", ("a", _text(SUPPLEMENT_NOTE)), when="supplement"),
     ]
     return metadata.select(
         *keep, F.lit(LEADER).alias("leader"), control.alias("controlfield"), F.concat(*fields).alias("datafield")
