@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import tarfile
 from collections.abc import Iterator
 from xml.parsers import expat
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bindery.schemas import KEEP_TEXT, XML_MARC
 from bindery.sources.xml import marc_columns
 
+# The functions below travel to the executors with the job, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MEMBERS = "src_key string, member string, rec_pos long, xml string"
 BLOCK = 1 << 20
 START_TAG = re.compile(rb"<(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>")

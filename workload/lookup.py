@@ -213,29 +213,28 @@ def marcxml_roundtrip(spark, sf_dir):
 @query("archive_roundtrip", RECORD_LINES.format(LINES))
 def archive_roundtrip(spark, sf_dir):
     """Each record as an XML collection in a gzipped tar, unpacked, cut into records and parsed."""
+
+    def pack(batches):  # makes the input: one archive per row
+        import io
+        import tarfile
+
+        for batch in batches:
+            packed = []
+            for name, text in zip(batch["record_id"], batch["xml"]):
+                body, out = text.encode("utf-8"), io.BytesIO()
+                with tarfile.open(fileobj=out, mode="w:gz") as archive:
+                    entry = tarfile.TarInfo(f"{name}.xml")
+                    entry.size = len(body)
+                    archive.addfile(entry, io.BytesIO(body))
+                packed.append(out.getvalue())
+            yield batch[["src_key"]].assign(path=batch["src_key"], content=packed)[["path", "content"]]
+
     rows = document_records(spark, sf_dir).select(
         "src_key", "record_id",
         F.concat(F.lit("<collection><record><controlfield tag=\"001\">"), "record_id", F.lit("</controlfield>"),
                  F.replace(pack_fields(F.col("datafield")), F.lit("||"), F.lit("")), F.lit("</record></collection>")).alias("xml"),
     )
-    return by_id(parse_records(expand_archives(rows.mapInPandas(_pack, "path string, content binary"))))
-
-
-def _pack(batches):
-    """Test data only: one archive per row."""
-    import io
-    import tarfile
-
-    for batch in batches:
-        packed = []
-        for name, text in zip(batch["record_id"], batch["xml"]):
-            body, out = text.encode("utf-8"), io.BytesIO()
-            with tarfile.open(fileobj=out, mode="w:gz") as archive:
-                entry = tarfile.TarInfo(f"{name}.xml")
-                entry.size = len(body)
-                archive.addfile(entry, io.BytesIO(body))
-            packed.append(out.getvalue())
-        yield batch[["src_key"]].assign(path=batch["src_key"], content=packed)[["path", "content"]]
+    return by_id(parse_records(expand_archives(rows.mapInPandas(pack, "path string, content binary"))))
 
 
 @query("csv_drop", "SELECT conv_id, turn, role, text FROM conversations")
