@@ -146,7 +146,7 @@ def test_keys(spark):
     assert one(spark, K.needs_relocation(F.lit("a/b"))) is False
     assert one(spark, K.flat_name(F.lit("a/b/c"), "out/")) == "out/a-b-c.xml"
     assert one(spark, K.clean_item_id(F.lit("http://dx.doi.org/10.34944/dspace/602"))) == "10_34944_dspace_602"
-    assert one(spark, K.snapshot_name(F.lit("None"), F.lit("tul_cob"), F.lit("2020"), F.lit("7"))) == "tul_cob.7-2020"
+    assert one(spark, K.snapshot_name(F.lit("None"), F.lit("catalog"), F.lit("2020"), F.lit("7"))) == "catalog.7-2020"
     assert one(spark, K.map_language(F.lit("es"))) == "spa"
 
 
