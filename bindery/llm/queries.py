@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm import byte_bpe, secret_scan, suffix_search, toxicity
+from bindery.llm import byte_bpe, jaccard_join, secret_scan, suffix_search, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +62,8 @@ def toxic_documents(spark, sf_dir):
 def byte_bpe_round_trip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_bpe.round_trip(docs, vocabulary()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op9_ngram_jaccard_join")
+def similar_documents(spark, sf_dir):
+    return jaccard_join.join_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
