@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm import byte_bpe, jaccard_join, secret_scan, suffix_search, toxicity
+from bindery.llm import (
+    byte_bpe, fingerprints, jaccard_join, length_histogram, page_text, preferences, secret_scan, sharding, suffix_search, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,3 +69,52 @@ def byte_bpe_round_trip(spark, sf_dir):
 @query("op9_ngram_jaccard_join")
 def similar_documents(spark, sf_dir):
     return jaccard_join.join_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op1_preference_formatting", r"""
+WITH turns AS (
+  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, turn, role, text, coalesce(turn, 9223372036854775807) AS at,
+         CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side
+  FROM conversations WHERE conv_id IS NOT NULL),
+both_sides AS (
+  SELECT pair_id, at, count(*) FILTER (side = 'chosen') = 1 AND count(*) FILTER (side = 'rejected') = 1
+         AND count(DISTINCT coalesce(role, chr(1)) || chr(0) || coalesce(text, chr(1))) = 1 AS same
+  FROM turns GROUP BY pair_id, at),
+cuts AS (SELECT pair_id, min(at) FILTER (NOT same) AS cut FROM both_sides GROUP BY pair_id),
+marked AS (
+  SELECT turns.*, cut IS NULL OR at < cut AS shared, '<|im_start|>' || coalesce(role, '') || chr(10) AS head,
+         replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS rest
+  FROM turns JOIN cuts USING (pair_id))
+SELECT pair_id, CASE WHEN shared THEN 'prompt' ELSE side END AS part, turn, role, head || rest AS rendered,
+       CAST(CASE WHEN NOT shared AND role = 'assistant' THEN length(head) ELSE 0 END AS BIGINT) AS mask_start,
+       CAST(CASE WHEN NOT shared AND role = 'assistant' THEN length(head || rest) - 1 ELSE 0 END AS BIGINT) AS mask_end
+FROM marked WHERE NOT shared OR side = 'chosen'
+""")
+def preference_pairs(spark, sf_dir):
+    return preferences.format_pairs(*preferences.pairs_by_id(table(spark, sf_dir, "conversations")))
+
+
+@query("op4_length_histogram")
+def context_limits(spark, sf_dir):
+    lengths = length_histogram.encoded_lengths(table(spark, sf_dir, "documents").select("text"), vocabulary())
+    return length_histogram.suffix_sums(length_histogram.histogram(lengths))
+
+
+@query("op6_prefix_fingerprints")
+def edited_fingerprints(spark, sf_dir):
+    return fingerprints.against_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_page_differencing")
+def page_texts(spark, sf_dir):
+    return page_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(128)]
+
+
+@query("op10_lookup_table_sharding")
+def placed_documents(spark, sf_dir):
+    """The shard of every document, and the one it would go to without the last shard."""
+    tables = {"shard": sharding.lookup_table(spark, SHARDS), "shard_after_loss": sharding.lookup_table(spark, SHARDS[:-1])}
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", tables)
