@@ -3,13 +3,14 @@
 Two sets that are similar enough share a token among the first few of each, in any order common to all; among some more
 they share several. A document's prefix is lengthened as long as that is expected to pay: the frequencies of its tokens
 bound how many documents share k of them by their sum over k, so longer prefixes read more postings and verify fewer pairs.
-A pair must share as many prefix tokens as the smaller of its two numbers before it is verified on whole sets.
+A pair must share correspondingly many prefix tokens before it is verified on whole sets: what it needs in all, less what
+can lie behind the longer rest of the two.
 
 Order: tokens that are rare come first, by hash; frequent ones follow by frequency. Frequencies are counted over all
 documents within chunks of a task, tokens met once in a chunk left out, which changes the order and never the result. The
 number of frequent tokens that tasks are told is bounded.
 
-Equal sets are one node, known by a 64-bit digest. Groups of many similar nodes are not expanded into all pairs: each
+Equal sets are one node, known by a 64-bit digest. Postings and sets are sent with 48 bits of each token's hash. Groups of many similar nodes are not expanded into all pairs: each
 token's nodes are first compared with one of them, links are joined to components, and only pairs that lie in different
 components and share enough tokens are verified then. Components come out exact; links inside them aren't all listed.
 
@@ -25,7 +26,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField
 
@@ -37,7 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 5
 PERCENT = 75  # least similarity
 FREQUENT = 1 << 20  # frequent tokens that tasks are told, at most
-CHUNK_TOKENS = 1 << 22  # tokens a task counts at a time
+CHUNK_TOKENS = 1 << 21  # tokens a task counts, or packs, at a time
+PART_BYTES = 1 << 20  # text bytes cut into shingles at a time; some arrays have eight bytes for each
 BUCKET_TOKENS = 1 << 19  # tokens of all documents for each bucket of postings
 HOT = 1 << 16  # nodes that share a token above which its postings are spread
 MULTIPLES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
@@ -68,7 +70,7 @@ class Shingler:
         if len(self.power) <= n:
             grown = []
             for factor in (self.base, self.inverse):
-                each = np.full(max(n + 1, 1 << 20), factor, np.uint64)
+                each = np.full(n + 1 + PART_BYTES, factor, np.uint64)
                 each[0] = 1
                 grown.append(np.multiply.accumulate(each))
             self.power, self.unpower = grown
@@ -111,6 +113,27 @@ class Shingler:
         return int(self.mixed(np.array([total ^ np.bitwise_xor.reduce(tokens) ^ np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
 
 
+def narrow(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of each token."""
+    return np.ascontiguousarray(tokens).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def widened(content) -> np.ndarray:
+    raw = np.frombuffer(content, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, 2:] = raw
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def needed(n_a, rest_a, n_b, rest_b, percent: int) -> np.ndarray:
+    """Prefix tokens that two sets of these sizes, with these numbers of tokens behind their prefixes, must share to be similar.
+
+    Of the tokens that they share, those up to the end of the prefix that ends first are in both prefixes.
+    """
+    overlap = -(-percent * (n_a + n_b) // (100 + percent))
+    return np.maximum(overlap - np.maximum(rest_a, rest_b), 1)
+
+
 def least(n: np.ndarray | int, percent: int):
     """Tokens that a set of n shares at least with any set similar enough: percent of n, rounded up."""
     return -(-n * percent // 100)
@@ -133,7 +156,7 @@ def survey(docs: DataFrame, doc: str, text: str, size: int) -> DataFrame:
                 return pa.RecordBatch.from_arrays([pa.array(np.full(len(b), kind), pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["kind", "a", "b", "n"])
 
             for batch in batches:
-                for part in common.parts(batch, "text", common.PART_BYTES):
+                for part in common.parts(batch, "text", PART_BYTES):
                     sets = shingler.sets(part.column("text"))
                     nodes = [shingler.node(s) for s in sets]
                     yield rows(0, part.column("doc_id"), nodes, [len(s) for s in sets])
@@ -165,8 +188,8 @@ def frequent_tokens(surveyed: DataFrame, limit: int) -> tuple[np.ndarray, np.nda
     return token[by], count[by]
 
 
-def prefix(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The prefix of a set, the counts of its tokens (1 for those that aren't frequent), and how many of them a pair must share."""
+def prefix(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix of a set, and the counts of its tokens, 1 for those that aren't frequent."""
     known, counts = frequent
     n = len(tokens)
     first = n - least(n, percent) + 1
@@ -181,39 +204,41 @@ def prefix(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent:
     read = np.cumsum(count - 1)[sizes - 1]
     multiples = MULTIPLES[: len(sizes)]
     best = int(np.argmin(read + VERIFY_COST * read / multiples))
-    return tokens[order[: sizes[best]]], count[: sizes[best]], int(multiples[best])
+    return tokens[order[: sizes[best]]], count[: sizes[best]]
 
 
 def postings(docs: DataFrame, text: str, frequent, buckets: int, size: int, percent: int) -> DataFrame:
     """Postings of all prefixes, packed by bucket of their token: (bucket, content).
 
-    ``content`` holds arrays: tokens, the place of each token's node in the nodes, nodes, sizes, least shared tokens.
+    ``content`` holds arrays: nodes, sizes, tokens behind the prefix, tokens (hot ones last), the place of each token's node.
     A node that several documents of a task have comes once.
     """
 
     def work(batches):
         with np.errstate(over="ignore"):
             shingler, seen = Shingler(size), set()
-            token, owner, spread, nodes, sizes, shared = [], [], [], [], [], []
+            token, owner, spread, nodes, sizes, rests = [], [], [], [], [], []
             held = 0
 
             def packed():
                 t, o, s = np.concatenate(token), np.concatenate(owner), np.concatenate(spread)
                 salt = np.where(s > HOT, np.array(nodes, np.int64)[o].view(np.uint64) % (s // HOT + 1).astype(np.uint64), np.uint64(0))
                 bucket = (shingler.mixed(t + salt * shingler.base) % np.uint64(buckets)).astype(np.int64)
-                by = np.argsort(bucket, kind="stable")
+                by = np.lexsort((s > HOT, bucket))
                 t, o, bucket, hot = t[by], o[by], bucket[by], (s > HOT)[by]
                 cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                all_nodes, all_sizes, all_shared = np.array(nodes, np.int64), np.array(sizes, np.int32), np.array(shared, np.int32)
+                all_nodes, all_sizes, all_rests = np.array(nodes, np.int64), np.array(sizes, np.int32), np.array(rests, np.int32)
                 contents = []
                 for a, b in zip(cuts, np.append(cuts[1:], len(t))):
                     used, place = np.unique(o[a:b], return_inverse=True)
-                    head = np.array([b - a, len(used)], np.int64)
-                    contents.append(b"".join(x.tobytes() for x in (head, t[a:b], all_nodes[used], place.astype(np.int32), all_sizes[used], all_shared[used], hot[a:b])))
+                    head = np.array([b - a, len(used), hot[a:b].sum()], np.int64)
+                    place = place.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
+                    arrays = (head, all_nodes[used], all_sizes[used], all_rests[used])
+                    contents.append(b"".join([*(x.tobytes() for x in arrays), narrow(t[a:b]), place.tobytes()]))
                 return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int64()), pa.array(contents, pa.binary())], names=["bucket", "content"])
 
             for batch in batches:
-                for part in common.parts(batch, "text", common.PART_BYTES):
+                for part in common.parts(batch, "text", PART_BYTES):
                     for s in shingler.sets(part.column("text")):
                         if len(s) < 2:
                             continue  # a set of one token is similar to its equal only
@@ -221,17 +246,17 @@ def postings(docs: DataFrame, text: str, frequent, buckets: int, size: int, perc
                         if node in seen:
                             continue
                         seen.add(node)
-                        tokens, count, multiple = prefix(s, frequent, percent)
+                        tokens, count = prefix(s, frequent, percent)
                         token.append(tokens)
                         owner.append(np.full(len(tokens), len(nodes)))
                         spread.append(count)
                         nodes.append(node)
                         sizes.append(len(s))
-                        shared.append(multiple)
+                        rests.append(len(s) - len(tokens))
                         held += len(tokens)
                     if held > CHUNK_TOKENS:
                         yield packed()
-                        token, owner, spread, nodes, sizes, shared, held, seen = [], [], [], [], [], [], 0, set()
+                        token, owner, spread, nodes, sizes, rests, held, seen = [], [], [], [], [], [], 0, set()
             if token:
                 yield packed()
 
@@ -239,21 +264,22 @@ def postings(docs: DataFrame, text: str, frequent, buckets: int, size: int, perc
 
 
 def unpacked(content: bytes) -> tuple[np.ndarray, ...]:
-    n, m = np.frombuffer(content, np.int64, 2).tolist()
-    at, out = 16, []
-    for kind, k in ((np.uint64, n), (np.int64, m), (np.int32, n), (np.int32, m), (np.int32, m), (np.bool_, n)):
-        out.append(np.frombuffer(content, kind, k, at))
+    """Of each posting: token, node, size, tokens behind the prefix, whether the token is hot."""
+    n, m, hot = np.frombuffer(content, np.int64, 3).tolist()
+    at, out = 24, []
+    for kind in (np.int64, np.int32, np.int32):
+        out.append(np.frombuffer(content, kind, m, at))
         at += out[-1].nbytes
-    token, nodes, place, sizes, shared, hot = out
-    return token, nodes[place], sizes[place].astype(np.int64), shared[place].astype(np.int64), hot
+    token = widened(content[at : at + 6 * n])
+    place = np.frombuffer(content, np.uint16 if m <= 1 << 16 else np.uint32, n, at + 6 * n).astype(np.int64)
+    return token, out[0][place], out[1][place].astype(np.int64), out[2][place].astype(np.int64), np.arange(n) >= n - hot
 
 
 def shared_tokens(packed: DataFrame, percent: int) -> DataFrame:
     """What nodes share, bucket by bucket.
 
-    kind 0: a and b are the only nodes with some tokens, n of them. kind 1: n tokens of three or more nodes hold both, and a is
-    the first of the nodes. kind 2: the token a of three or more nodes has node b. x and y: for kind 0 the numbers of tokens
-    the nodes must share; for kind 2 the node's size and number.
+    kind 0: a and b are the only nodes with some tokens, n of them; x: how many tokens they must share. kind 1: the token a of
+    three or more nodes has node b; x: the node's size, y: its tokens behind the prefix.
     """
     schema = "kind int, a long, b long, n long, x long, y long"
 
@@ -263,32 +289,28 @@ def shared_tokens(packed: DataFrame, percent: int) -> DataFrame:
             for bucket, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 groups.setdefault(bucket, []).append(content)
         for contents in groups.values():
-            token, node, size, need, hot = (np.concatenate(x) for x in zip(*map(unpacked, contents)))
+            token, node, size, rest, hot = (np.concatenate(x) for x in zip(*map(unpacked, contents)))
             by = np.lexsort((node, token))
-            token, node, size, need, hot = token[by], node[by], size[by], need[by], hot[by]
+            token, node, size, rest, hot = token[by], node[by], size[by], rest[by], hot[by]
             new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))  # the same node from several tasks
-            token, node, size, need, hot = token[new], node[new], size[new], need[new], hot[new]
+            token, node, size, rest, hot = token[new], node[new], size[new], rest[new], hot[new]
             begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             count = np.diff(np.append(begin, len(token)))
             group = np.repeat(np.arange(len(begin)), count)
             many = (count[group] > 2) | hot
             two = begin[(count == 2) & ~hot[begin]]
-            out = []
             a, b = two, two + 1
             fits = np.minimum(size[a], size[b]) * 100 >= percent * np.maximum(size[a], size[b])
-            out.append((0, node[a[fits]], node[b[fits]], need[a[fits]], need[b[fits]]))
-            b = np.flatnonzero(many & (np.arange(len(token)) != begin[group]))
-            a = begin[group[b]]
-            fits = np.minimum(size[a], size[b]) * 100 >= percent * np.maximum(size[a], size[b])
-            out.append((1, node[a[fits]], node[b[fits]], need[a[fits]], need[b[fits]]))
-            for kind, a, b, x, y in out:
-                if len(a):
-                    order = np.lexsort((b, a))
-                    a, b, x, y = a[order], b[order], x[order], y[order]
-                    at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-                    yield rows(kind, a[at], b[at], np.diff(np.append(at, len(a))), x[at], y[at])
+            a, b = a[fits], b[fits]
+            need = needed(size[a], rest[a], size[b], rest[b], percent)
+            a, b = node[a], node[b]
+            order = np.lexsort((b, a))
+            a, b, need = a[order], b[order], need[order]
+            at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
+            if len(at):
+                yield rows(0, a[at], b[at], np.diff(np.append(at, len(a))), need[at], need[at])
             if many.any():
-                yield rows(2, token[many].view(np.int64), node[many], np.ones(many.sum(), np.int64), size[many], need[many])
+                yield rows(1, token[many].view(np.int64), node[many], np.ones(many.sum(), np.int64), size[many], rest[many])
 
     def rows(kind, *columns):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind), pa.int32()), *[pa.array(c, pa.int64()) for c in columns]], names=["kind", "a", "b", "n", "x", "y"])
@@ -296,17 +318,27 @@ def shared_tokens(packed: DataFrame, percent: int) -> DataFrame:
     return packed.repartition("bucket").mapInArrow(work, schema)
 
 
+def key_of(node: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Filter key of a node that a document has."""
+    mixed = Shingler().mixed
+    return mixed(node.view(np.uint64) ^ mixed(doc.view(np.uint64) + np.uint64(7)))
+
+
+def longs(column: pa.Array) -> np.ndarray:
+    return column.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def node_filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
-    """A Bloom filter of nodes with three probes: it never misses one. Its size is bounded; when full it lets more pass."""
+    """A Bloom filter of (node, doc_id) with three probes: it never misses one. Its size is bounded; when full it lets more pass."""
     count = nodes.count()
     bits = 1 << min(FILTER_BITS.bit_length() - 1, max(10, math.ceil(math.log2(16 * count + 1))))
 
     def work(batches):
         held = np.zeros(bits >> 3, np.uint8)
-        for batch in batches:
-            node = batch.column(0).to_numpy()
-            for p in probes(node, bits):
-                np.bitwise_or.at(held, p >> 3, (1 << (p & 7)).astype(np.uint8))
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for p in probes(key_of(longs(batch.column(0)), longs(batch.column(1))), bits):
+                    np.bitwise_or.at(held, p >> 3, (1 << (p & 7)).astype(np.uint8))
         at = np.flatnonzero(held)
         for a in range(0, len(at), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(at[a : a + (1 << 16)], pa.int64()), pa.array(held[at[a : a + (1 << 16)]].astype(np.int32))], names=["at", "bits"])
@@ -317,54 +349,51 @@ def node_filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
     return held, bits
 
 
-def probes(node: np.ndarray, bits: int) -> list[np.ndarray]:
-    node = node.view(np.uint64)
-    return [((node >> np.uint64(s)) & np.uint64(bits - 1)).astype(np.int64) for s in (0, 13, 31)]
+def probes(key: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [((key >> np.uint64(s)) & np.uint64(bits - 1)).astype(np.int64) for s in (0, 13, 31)]
 
 
-def passes(node: np.ndarray, held: np.ndarray, bits: int) -> np.ndarray:
-    out = np.ones(len(node), bool)
-    for p in probes(node, bits):
+def passes(key: np.ndarray, held: np.ndarray, bits: int) -> np.ndarray:
+    out = np.ones(len(key), bool)
+    for p in probes(key, bits):
         out &= (held[p >> 3] >> (p & 7)) & 1 == 1
     return out
 
 
-def sets_of(docs: DataFrame, text: str, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, tokens) for at least the given nodes, tokens as bytes; a node may come from several tasks."""
+def sets_of(docs: DataFrame, doc: str, text: str, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, tokens) for at least the given (node, doc_id), from that document; rarely a node comes twice."""
     held, bits = node_filter(nodes)
 
     def work(batches):
         with np.errstate(over="ignore"):
             shingler, seen = Shingler(size), set()
             for batch in batches:
-                for part in common.parts(batch, "text", common.PART_BYTES):
-                    sets = [s for s in shingler.sets(part.column("text")) if len(s) > 1]
+                for part in common.parts(batch, "text", PART_BYTES):
+                    sets = shingler.sets(part.column("text"))
                     found = np.array([shingler.node(s) for s in sets], np.int64)
-                    keep = [i for i in np.flatnonzero(passes(found, held, bits)).tolist()] if len(found) else []
                     fresh = []
-                    for i in keep:
-                        if found[i] not in seen:
+                    for i in np.flatnonzero(passes(key_of(found, longs(part.column("doc_id"))), held, bits)).tolist():
+                        if len(sets[i]) > 1 and found[i] not in seen:
                             seen.add(found[i])
                             fresh.append(i)
-                    yield pa.RecordBatch.from_arrays([pa.array(found[fresh], pa.int64()), pa.array([sets[i].tobytes() for i in fresh], pa.binary())], names=["node", "tokens"])
+                    yield pa.RecordBatch.from_arrays([pa.array(found[fresh], pa.int64()), pa.array([narrow(sets[i]) for i in fresh], pa.binary())], names=["node", "tokens"])
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(work, "node long, tokens binary")
-    return found.dropDuplicates(["node"])
+    return docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(work, "node long, tokens binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, doc: str, text: str, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough. ``first``: (node, doc_id), one document for each node."""
     pairs = stored(pairs.select("a", "b"), "pairs")
-    sets = stored(sets_of(docs, text, pairs.select("a").unionAll(pairs.select("b")), size), "sets")
-    joined = pairs.join(sets.toDF("b", "tokens_b"), "b").join(sets.toDF("a", "tokens_a"), "a").select("a", "b", "tokens_a", "tokens_b")
+    sets = {x: sets_of(docs, doc, text, first.join(pairs.select(F.col(x).alias("node")).distinct(), "node", "left_semi"), size) for x in "ab"}
+    joined = pairs.join(sets["b"].toDF("b", "tokens_b"), "b").join(sets["a"].toDF("a", "tokens_a"), "a").select("a", "b", "tokens_a", "tokens_b")
 
     def work(batches):
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common_tokens = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                good.append(100 * common_tokens >= percent * (len(x) + len(y) - common_tokens))
+                x, y = widened(x.as_buffer()), widened(y.as_buffer())
+                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
             good = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
@@ -389,6 +418,17 @@ def components(links: DataFrame) -> DataFrame:
             return names
 
 
+def similar_sizes(a: str, b: str, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def need_of(size_a: str, rest_a: str, size_b: str, rest_b: str, percent: int) -> Column:
+    """``needed`` as a column."""
+    total = (F.col(size_a) + F.col(size_b)) * percent
+    overlap = F.expr(f"({size_a} + {size_b}) * {percent} div {100 + percent}") + F.when(total % (100 + percent) > 0, 1).otherwise(0)
+    return F.greatest(overlap - F.greatest(rest_a, rest_b), F.lit(1).cast("long"))
+
+
 def node_components(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, limit: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """Documents as (doc_id, node, n), and (node, component) for every node that is linked with another one."""
     surveyed = stored(survey(docs, doc, text, size), "survey")
@@ -398,27 +438,40 @@ def node_components(docs: DataFrame, doc: str = "doc_id", text: str = "text", si
     packed = postings(docs, text, frequent, max(256, total // BUCKET_TOKENS), size, percent)
     shared = stored(shared_tokens(packed, percent), "shared")
 
-    # Each node of a token that many have is compared with the two of their first nodes with which it shares most.
-    stars = shared.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    best = stars.groupBy("b").agg(F.max(F.struct("n", "a")).alias("one"), F.min("a").alias("two"))
-    stars = best.select(F.explode(F.array("one.a", "two")).alias("a"), "b").distinct()
-    links = verified(stars, docs, text, size, percent)
+    first = stored(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "first")
+
+    # How many tokens of its prefix a node has in common with any other: no pair shares more.
+    alone = shared.where("kind = 0").select("a", "b", "n", F.col("x").alias("need"))
+    many = shared.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"), F.col("x").alias("size"), F.col("y").alias("rest"))
+    ones = many.select("node", F.lit(1).cast("long").alias("n")).unionAll(alone.select("a", "n")).unionAll(alone.select("b", "n"))
+    many = stored(many.join(stored(ones.groupBy("node").agg(F.sum("n").alias("common")), "common"), "node"), "many")
+
+    # Each node of a token that many have is compared with one of their nodes that have most in common, that with which it
+    # shares most tokens.
+    centres = many.groupBy("token").agg(F.max(F.struct("common", "node", "size", "rest")).alias("c"))
+    centres = centres.select("token", F.col("c.node").alias("a"), F.col("c.size").alias("size_a"), F.col("c.rest").alias("rest_a"))
+    stars = many.join(centres, "token").where((F.col("node") != F.col("a")) & similar_sizes("size", "size_a", percent))
+    stars = stars.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.max(need_of("size", "rest", "size_a", "rest_a", percent)).alias("need"))
+    stars = stars.where("n * 2 >= need").groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b")
+    links = verified(stars, first, docs, doc, text, size, percent)
     names = components(links)
 
     # Then the pairs that could still join two components.
-    many = shared.where("kind = 2").select(F.col("a").alias("token"), F.col("b").alias("node"), F.col("x").alias("size"), F.col("y").alias("need"))
-    named = stored(many.join(names, "node", "left").select("token", "node", "size", "need", F.coalesce("component", "node").alias("component")), "named")
+    named = stored(many.join(names, "node", "left").withColumn("component", F.coalesce("component", "node")), "named")
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     open_ = stored(named.join(mixed, "token", "left_semi"), "open")
     left, right = open_.alias("l"), open_.alias("r")
-    fits = F.least("l.size", "r.size") * 100 >= F.greatest("l.size", "r.size") * percent
-    across = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.component") != F.col("r.component")) & fits)
-    across = across.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.lit(1).cast("long").alias("n"), F.least("l.need", "r.need").alias("need"))
-    alone = shared.where("kind = 0").select("a", "b", "n", F.least("x", "y").alias("need"))
+    need = need_of("l.size", "l.rest", "r.size", "r.rest", percent)
+    across = left.join(
+        right,
+        (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.component") != F.col("r.component"))
+        & similar_sizes("l.size", "r.size", percent) & (F.least("l.common", "r.common") >= need),
+    )
+    across = across.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.lit(1).cast("long").alias("n"), need.alias("need"))
     pairs = across.unionAll(alone).groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need")
     pairs = pairs.join(names.toDF("a", "of_a"), "a", "left").join(names.toDF("b", "of_b"), "b", "left")
     pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-    more = verified(pairs, docs, text, size, percent)
+    more = verified(pairs, first, docs, doc, text, size, percent)
     names = components(more.unionAll(names.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))))
     return members, names
 
@@ -447,7 +500,7 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", **opti
     size = options.get("size", SHINGLE)
     columns = docs.columns
     decided = winners(*node_components(docs, doc, text, **options))
-    held, bits = node_filter(decided.select("node"))
+    held, bits = node_filter(decided.select("node", F.lit(0).cast("long").alias("doc_id")))
 
     def work():
         shingler = Shingler(size)
@@ -456,12 +509,12 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", **opti
             with np.errstate(over="ignore"):
                 sets = shingler.sets(given[0])
                 nodes = np.array([shingler.node(s) for s in sets], np.int64)
-                maybe = passes(nodes, held, bits) & np.array([len(s) > 0 for s in sets], bool)
+                maybe = passes(key_of(nodes, np.zeros(len(nodes), np.int64)), held, bits) & np.array([len(s) > 0 for s in sets], bool)
             return [pa.array(nodes, pa.int64()), pa.array(maybe, pa.bool_())]
 
         return run
 
-    marked = common.add_columns(docs, [text], [StructField("_node", LongType()), StructField("_maybe", BooleanType())], work)
+    marked = common.add_columns(docs, [text], [StructField("_node", LongType()), StructField("_maybe", BooleanType())], work, PART_BYTES)
     asked = marked.where("_maybe").join(decided.select(F.col("node").alias("_node"), F.col("doc_id").alias("_first"), F.col("winner").alias("_winner")), "_node", "left")
     kept = asked.where(F.col("_winner").isNull() | ((F.col("_winner") == F.col("_node")) & F.col(f"`{doc}`").cast("long").eqNullSafe(F.col("_first"))))
     # Written before rows that repeat are dropped, so that a node with many copies can be split in the join.
