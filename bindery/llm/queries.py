@@ -73,16 +73,16 @@ def similar_documents(spark, sf_dir):
 
 @query("op1_preference_formatting", r"""
 WITH turns AS (
-  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, turn, role, text, coalesce(turn, 9223372036854775807) AS at,
+  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, turn, role, text, coalesce(turn, 9223372036854775807) AS place,
          CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side
   FROM conversations WHERE conv_id IS NOT NULL),
 both_sides AS (
-  SELECT pair_id, at, count(*) FILTER (side = 'chosen') = 1 AND count(*) FILTER (side = 'rejected') = 1
-         AND count(DISTINCT coalesce(role, chr(1)) || chr(0) || coalesce(text, chr(1))) = 1 AS same
-  FROM turns GROUP BY pair_id, at),
-cuts AS (SELECT pair_id, min(at) FILTER (NOT same) AS cut FROM both_sides GROUP BY pair_id),
+  SELECT pair_id, place, count(*) FILTER (WHERE side = 'chosen') = 1 AND count(*) FILTER (WHERE side = 'rejected') = 1
+         AND count(DISTINCT coalesce(role, chr(1)) || chr(2) || coalesce(text, chr(1))) = 1 AS same
+  FROM turns GROUP BY pair_id, place),
+cuts AS (SELECT pair_id, min(place) FILTER (WHERE NOT same) AS cut FROM both_sides GROUP BY pair_id),
 marked AS (
-  SELECT turns.*, cut IS NULL OR at < cut AS shared, '<|im_start|>' || coalesce(role, '') || chr(10) AS head,
+  SELECT turns.*, cut IS NULL OR place < cut AS shared, '<|im_start|>' || coalesce(role, '') || chr(10) AS head,
          replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS rest
   FROM turns JOIN cuts USING (pair_id))
 SELECT pair_id, CASE WHEN shared THEN 'prompt' ELSE side END AS part, turn, role, head || rest AS rendered,
