@@ -15,7 +15,8 @@ def num_found(response: Column) -> Column:
 def failure_reason(body: Column, status: Column, reason: Column) -> Column:
     """The error message of a response, or its status line."""
     message = F.get_json_object(body, "$.error.msg")
-    return F.coalesce(message, F.concat(status.cast("string"), F.lit(":"), reason))
+    empty = F.lit("")
+    return F.coalesce(message, F.concat(F.coalesce(status.cast("string"), empty), F.lit(":"), F.coalesce(reason, empty)))
 
 
 def parse_list(text: Column) -> Column:

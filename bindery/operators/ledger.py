@@ -28,8 +28,10 @@ def matches_start(text: Column, pattern: str) -> Column:
 
 
 def read_ledgers(state: DataFrame) -> DataFrame:
-    """Ledger rows out of state values that hold lists. A blank value is an empty ledger."""
-    entries = F.posexplode(parse_list(F.col("value"))).alias("place", "entry")
+    """Ledger rows out of state values that hold lists. A blank value is an empty ledger; one that is no list is an error."""
+    values = parse_list(F.col("value"))
+    unread = F.raise_error(F.concat(F.lit("not a list, in ledger "), F.coalesce("key", F.lit("null")))).cast("array<string>")
+    entries = F.posexplode(F.when(values.isNull(), unread).otherwise(values)).alias("place", "entry")
     return state.select(F.col("key").alias("ledger"), entries).select(
         "ledger", (F.col("place") + 1).cast("long").alias("pos"), F.col("entry").alias("value")
     )
@@ -84,18 +86,21 @@ def prune_status(
     ``failure``. The last rows by position are kept before any other rule; then names in the list,
     then names that match the pattern; what remains succeeded or failed. ``included`` is a short list,
     or a frame with a ``name`` column. A blank name in the list is an error, since it hints at a list
-    that was meant to protect something.
+    that was meant to protect something. An item without an outcome counts as failed, so it stays.
     """
     if not isinstance(included, DataFrame) and any(name is None or name in BLANKS for name in included):
         raise ValueError("blank name in the list of names to skip")
     kept, listed = F.lit(False), F.lit(False)
     rows = items
     if keep_last:
-        rows = rows.join(last_cut(items, keep_last), "ledger", "left")
-        kept = F.col("pos") >= F.col("_cut")
+        cut = last_cut(items, keep_last).withColumnRenamed("ledger", "_of_ledger")
+        rows = rows.join(cut, rows["ledger"].eqNullSafe(cut["_of_ledger"]), "left")
+        kept = F.coalesce(F.col("pos") >= F.col("_cut"), F.lit(False))
     if isinstance(included, DataFrame):
         # Written for the same reasons as the cut: a known size, and a join that can split a hot name.
-        names = stored(included.select(F.col("name").alias("_listed")).distinct(), "listed")
+        blank = F.col("name").isNull() | F.col("name").isin(*BLANKS)
+        checked = F.when(blank, F.raise_error(F.lit("blank name in the list of names to skip")).cast("string")).otherwise(F.col("name"))
+        names = stored(included.select(checked.alias("_listed")).distinct(), "listed")
         rows = rows.join(names, rows["name"] == names["_listed"], "left")
         listed = F.col("_listed").isNotNull()
     elif included:

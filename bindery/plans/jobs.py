@@ -58,7 +58,10 @@ def thesis_mapping(
 
 
 def ledger_prune(ledger: DataFrame, pushed: DataFrame, outcomes: DataFrame, keep_last: int, **rules) -> DataFrame:
-    """Push new values, prune, and return the ledger that is left. ``outcomes`` has name, ok, failure."""
+    """Push new values, prune, and return the ledger that is left.
+
+    ``outcomes`` has name, ok, failure, and ledger if names recur in several. An item that nobody attempted stays.
+    """
     names = push(ledger, pushed).withColumnRenamed("value", "name")
-    items = names.join(outcomes, "name", "left").withColumn("ok", F.coalesce("ok", F.lit(True)))
+    items = names.join(outcomes, [c for c in ("ledger", "name") if c in outcomes.columns], "left")
     return remaining(prune_status(stored(items, "items"), keep_last, **rules))

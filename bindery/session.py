@@ -19,6 +19,8 @@ def local_session(cores: str = "8", app: str = "bindery", **conf: str) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
     )
+    if "spark.checkpoint.dir" not in conf:
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bindery-")
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -26,16 +28,19 @@ def local_session(cores: str = "8", app: str = "bindery", **conf: str) -> SparkS
     return spark
 
 
+_MADE: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach. A temporary folder is made only for a local master."""
+    """Folder every executor can reach. Where the session names none, a local master gets one temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="bindery-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not _MADE:
+        _MADE.append(tempfile.mkdtemp(prefix="bindery-"))
+    return _MADE[0]
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

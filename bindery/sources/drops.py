@@ -20,8 +20,10 @@ def under_prefix(key: Column, prefix: str, delimiter: str = "/") -> Column:
 def list_files(spark: SparkSession, path: str, prefix: str = "", delimiter: str = "/") -> DataFrame:
     """Files under ``path`` as key, mtime and size. File contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    root = path.rstrip("/") + "/"
-    key = F.substring_index("path", root, -1)
+    # Cut by the length of the whole root, since its last part may recur below it.
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    key = F.substr("path", F.lit(len(root) + 2))
     listed = files.select(key.alias("key"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
     return listed.filter(under_prefix(F.col("key"), prefix, delimiter))
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bindery.functions.fields import record_id
-from bindery.functions.keys import HARVEST_FORMAT
 from bindery.schemas import (
     CONTROLFIELDS, DATAFIELDS, KEEP_TEXT, XML_MARC, XML_OAI_MARC, XML_XOAI, xoai_elements,
 )
@@ -70,10 +69,16 @@ def read_marcxml(spark: SparkSession, path: str | list[str], mode: str = "FAILFA
     )
 
 
-def _header() -> list[Column]:
+def _header(mode: str) -> list[Column]:
+    """Header columns. A date stamp may be a day or a second; another form is null in PERMISSIVE mode, else an error."""
+    text = F.col("header.datestamp")
+    stamp = text.try_cast("timestamp_ntz")
+    if mode != "PERMISSIVE":
+        unread = F.raise_error(F.concat(F.lit("not a date stamp: "), text)).cast("timestamp_ntz")
+        stamp = F.when(text.isNotNull() & stamp.isNull(), unread).otherwise(stamp)
     return [
         F.col("header.identifier").alias("oai_id"),
-        F.to_timestamp_ntz(F.col("header.datestamp"), F.lit(HARVEST_FORMAT)).alias("datestamp"),
+        stamp.alias("datestamp"),
         F.coalesce(F.col("header.setSpec"), F.array().cast("array<string>")).alias("sets"),
         (F.coalesce(F.col("header._status"), F.lit("")) == "deleted").alias("deleted"),
     ]
@@ -84,7 +89,7 @@ def read_oai_marcxml(spark: SparkSession, path: str | list[str], mode: str = "FA
     raw = _read(spark, path, XML_OAI_MARC, mode)
     inner = F.col("metadata.record")
     return raw.select(
-        *_position(mode), *_header(),
+        *_position(mode), *_header(mode),
         *marc_columns(inner["leader"], inner["controlfield"], inner["datafield"]),
     )
 
@@ -93,7 +98,7 @@ def read_xoai(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST"
     """Repository records. Name spaces go at the scan; a doubled metadata wrapper is taken off."""
     raw = _read(spark, path, XML_XOAI, mode)
     return raw.select(
-        *_position(mode), *_header(),
+        *_position(mode), *_header(mode),
         F.coalesce(
             F.col("metadata.metadata.element"), F.col("metadata.element"), F.array().cast(xoai_elements())
         ).alias("element"),

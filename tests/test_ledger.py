@@ -93,11 +93,32 @@ def test_remaining(spark):
 
 
 def test_prune_job(spark):
-    outcomes = spark.createDataFrame([("b", False, "500:x")], "name string, ok boolean, failure string")
+    outcomes = spark.createDataFrame([("b", False, "500:x"), ("a", True, None)], "name string, ok boolean, failure string")
     left = ledger_prune(rows(spark, "a", "b", "c"), rows(spark, "d", "a"), outcomes, keep_last=2)
     assert listed(left) == ["b", "c", "d"]
 
 
+def test_unattempted_items_stay(spark):
+    outcomes = spark.createDataFrame([("b", True, None)], "name string, ok boolean, failure string")
+    left = ledger_prune(rows(spark, "a", "b", "c"), rows(spark), outcomes, keep_last=1)
+    assert listed(left) == ["a", "c"]
+
+
+def test_null_ledger_keeps_its_last_item(spark):
+    given = spark.createDataFrame([(None, 1, "x", True, None), (None, 2, "y", True, None)], "ledger string, pos long, name string, ok boolean, failure string")
+    assert {r.name: r.reason for r in L.prune_status(given, 1).collect()} == {"x": None, "y": "skip_from_last"}
+
+
+def test_unreadable_lists_and_blank_names_raise(spark):
+    for value in ("['x', 'y'", "plain", "[1, None]", "('x','y')"):
+        with pytest.raises(Exception, match="not a list"):
+            L.read_ledgers(spark.createDataFrame([("k", value)], "key string, value string")).collect()
+    given = spark.createDataFrame([("l", 1, "x", True, None)], "ledger string, pos long, name string, ok boolean, failure string")
+    for name in ("", None):
+        with pytest.raises(Exception, match="blank name"):
+            L.prune_status(given, 1, spark.createDataFrame([(name,)], "name string")).collect()
+
+
 def test_cut_is_limited_before_the_shuffle(spark):
     import contextlib
     import io

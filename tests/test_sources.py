@@ -21,6 +21,9 @@ def test_listing(spark, tmp_path):
     keys = lambda *a: [r["key"] for r in O.listing_order(list_files(spark, str(tmp_path), *a)).collect()]
     assert keys("in/alma") == ["in/alma_1", "in/alma_2"]
     assert keys("in/alma", "") == ["in/alma/3", "in/alma_1", "in/alma_2"]
+    (tmp_path / "in/in").mkdir()
+    (tmp_path / "in/in/x").write_text("z")
+    assert "in/x" in {r["key"] for r in list_files(spark, str(tmp_path / "in"), "", "").collect()}
     row = list_files(spark, str(tmp_path), "out/").first()
     assert row["size"] == 2 and abs(row["mtime"] - datetime.now()) < timedelta(days=1)
 
