@@ -429,6 +429,41 @@ def need_of(size_a: str, rest_a: str, size_b: str, rest_b: str, percent: int) ->
     return F.greatest(overlap - F.greatest(rest_a, rest_b), F.lit(1).cast("long"))
 
 
+def across_components(nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, need) for the pairs of nodes of different components that may share ``need`` of their tokens; n is 0.
+
+    ``nodes``: (node, component, size, rest, tokens), the tokens of all in one order, rare ones first. A pair comes up at the
+    first token that it shares, and there at least ``need`` tokens must be left to both. A node is dropped at a token where
+    too few are left to it for every partner of similar size, and a token's largest component isn't paired with itself.
+    """
+    width = max(math.log(100 / percent), 1e-6) * (1 + 1e-9)  # sizes of similar sets lie in the same or in adjacent classes
+    level = F.floor(F.log(F.col("size").cast("double")) / width)
+    rows = nodes.select("node", "component", "size", "rest", F.size("tokens").alias("have"), level.alias("level"), F.posexplode("tokens").alias("pos", "token"))
+    rows = rows.withColumn("left", F.col("have") - F.col("pos")).drop("have", "pos")
+    nearby = F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1))
+
+    reach = rows.groupBy("token", "level").agg(F.min("size").alias("least"), F.max("rest").alias("most"))
+    reach = reach.withColumn("level", nearby).groupBy("token", "level").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    rows = rows.join(stored(reach, "reach"), ["token", "level"])
+    rows = rows.withColumn("fit", F.greatest("least", F.ceil(F.col("size") * percent / 100)))
+    rows = stored(rows.where(F.col("left") >= need_of("size", "rest", "fit", "most", percent)).drop("least", "most", "fit"), "near")
+
+    counts = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
+    main = counts.groupBy("token").agg(F.max(F.struct("rows", "component")).alias("most"), F.count(F.lit(1)).alias("components"))
+    main = stored(main.where("components > 1").select("token", F.col("most.component").alias("main")), "main")
+    rows = stored(rows.join(main, "token").withColumn("main", F.col("main") == F.col("component")), "sides")
+
+    l, r = rows.where("NOT main").alias("l"), rows.withColumn("level", nearby).alias("r")
+    need = need_of("l.size", "l.rest", "r.size", "r.rest", percent)
+    met = l.join(
+        r,
+        (F.col("l.token") == F.col("r.token")) & (F.col("l.level") == F.col("r.level")) & (F.col("r.main") | (F.col("l.node") < F.col("r.node")))
+        & (F.col("l.component") != F.col("r.component")) & similar_sizes("l.size", "r.size", percent) & (F.least("l.left", "r.left") >= need),
+    )
+    a, b = F.least("l.node", "r.node"), F.greatest("l.node", "r.node")
+    return met.select(a.alias("a"), b.alias("b"), F.lit(0).cast("long").alias("n"), need.alias("need"))
+
+
 def node_components(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, limit: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """Documents as (doc_id, node, n), and (node, component) for every node that is linked with another one."""
     surveyed = stored(survey(docs, doc, text, size), "survey")
@@ -456,21 +491,23 @@ def node_components(docs: DataFrame, doc: str = "doc_id", text: str = "text", si
     links = verified(stars, first, docs, doc, text, size, percent)
     names = components(links)
 
-    # Then the pairs that could still join two components.
+    # Then the pairs that could still join two components. All tokens that such a pair shares are open, or theirs alone.
     named = stored(many.join(names, "node", "left").withColumn("component", F.coalesce("component", "node")), "named")
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    open_ = stored(named.join(mixed, "token", "left_semi"), "open")
-    left, right = open_.alias("l"), open_.alias("r")
-    need = need_of("l.size", "l.rest", "r.size", "r.rest", percent)
-    across = left.join(
-        right,
-        (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.component") != F.col("r.component"))
-        & similar_sizes("l.size", "r.size", percent) & (F.least("l.common", "r.common") >= need),
-    )
-    across = across.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.lit(1).cast("long").alias("n"), need.alias("need"))
-    pairs = across.unionAll(alone).groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need")
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("nodes"))
+    of_open = named.join(stored(mixed.where("low < high").select("token", "nodes"), "mixed"), "token")
+    firsts = [F.first(x).alias(x) for x in ("component", "size", "rest")]
+    open_ = of_open.groupBy("node").agg(*firsts, F.sort_array(F.collect_list(F.struct("nodes", "token"))).alias("tokens"))
+    open_ = stored(open_.withColumn("tokens", F.col("tokens.token")), "open")
+    pairs = across_components(open_, percent).unionAll(alone).groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need"))
     pairs = pairs.join(names.toDF("a", "of_a"), "a", "left").join(names.toDF("b", "of_b"), "b", "left")
-    pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+    pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "n", "need")
+    have = open_.select("node", F.size("tokens").alias("have"))
+    pairs = pairs.join(have.toDF("a", "have_a"), "a", "left").join(have.toDF("b", "have_b"), "b", "left")
+    pairs = pairs.where(F.col("n") + F.least(F.coalesce("have_a", F.lit(0)), F.coalesce("have_b", F.lit(0))) >= F.col("need"))
+    pairs = stored(pairs.select("a", "b", "n", "need"), "possible")
+    pairs = pairs.join(open_.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a", "left")
+    pairs = pairs.join(open_.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b", "left")
+    pairs = pairs.where(F.col("n") + F.coalesce(F.size(F.array_intersect("tokens_a", "tokens_b")), F.lit(0)) >= F.col("need"))
     more = verified(pairs, first, docs, doc, text, size, percent)
     names = components(more.unionAll(names.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))))
     return members, names
