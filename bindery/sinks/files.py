@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bindery.functions.keys import HARVEST_FORMAT
 from bindery.functions.packed_xml import NAMESPACE
+from bindery.session import stored
 from bindery.sources.drops import CSV_QUOTING
 
 # Records per output file.
@@ -16,9 +17,11 @@ BOUNDWITH_RECORDS_PER_FILE = 10000
 def write_lookup(lookup: DataFrame, path: str) -> None:
     """Child lookup as CSV, in lookup order, on which the first match rests.
 
-    The header is written even without rows. Rows are sorted over all tasks, one file each.
+    The header is written even without rows. Rows are sorted over all tasks, one file each. The lookup is stored first, so
+    that it is computed once and not again for the sort's sample.
     """
-    columns = lookup.orderBy("ord").select("child_id", "parent_id", "parent_xml")
+    kept = stored(lookup.select("ord", "child_id", "parent_id", "parent_xml"), "lookup")
+    columns = kept.orderBy("ord").select("child_id", "parent_id", "parent_xml")
     # A frame without partitions writes no file at all, so keep one for the header.
     if columns.isEmpty():
         columns = columns.coalesce(1)
