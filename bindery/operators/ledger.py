@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bindery.functions.keys import BLANKS
 from bindery.functions.values import parse_list
@@ -19,7 +19,6 @@ OK, SKIPPED, FAILED = "OK", "SKIPPED", "FAILED"
 SKIP_FROM_LAST, SKIP_INCLUDED, SKIP_MATCHING = "skip_from_last", "skip_included", "skip_matching"
 ALREADY_GONE = "Could not find collection"
 KEEP_LAST = 1
-GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def matches_start(text: Column, pattern: str) -> Column:
@@ -61,18 +60,9 @@ def push(
 
 
 def last_cut(items: DataFrame, keep_last: int) -> DataFrame:
-    """Position from which a ledger's last ``keep_last`` rows start.
-
-    The rank filter is a group limit: every task keeps that many rows per ledger before the shuffle.
-    Spark does that up to a number of rows it takes from its settings; beyond it rows are numbered.
-    """
-    rows = items.select("ledger", "pos")
-    if keep_last <= int(items.sparkSession.conf.get(GROUP_LIMIT)):
-        last_first = Window.partitionBy("ledger").orderBy(F.desc("pos"))
-        last = rows.withColumn("_rank", F.row_number().over(last_first)).filter(F.col("_rank") <= keep_last)
-    else:
-        placed = numbered(rows, ["pos"], ["ledger"], into="_at", total="_of")
-        last = placed.filter(F.col("_at") > F.col("_of") - keep_last)
+    """Position from which a ledger's last ``keep_last`` rows start. Rows are numbered, so a ledger is spread over many tasks."""
+    placed = numbered(items.select("ledger", "pos"), ["pos"], ["ledger"], into="_at", total="_of")
+    last = placed.filter(F.col("_at") > F.col("_of") - keep_last)
     return stored(last.groupBy("ledger").agg(F.min("pos").alias("_cut")), "cut")
 
 

@@ -9,7 +9,7 @@ CONTROLFIELDS = "array<struct<tag:string,value:string>>"
 
 # How the XML source names attributes and text: attribute prefix "_", text "_VALUE".
 XML_MARC = (
-    "leader string, "
+    "_type string, `_airflow-record-id` string, leader string, "
     "controlfield array<struct<_tag:string,_VALUE:string>>, "
     "datafield array<struct<_tag:string,_ind1:string,_ind2:string,"
     "subfield:array<struct<_code:string,_VALUE:string>>>>"
@@ -29,17 +29,18 @@ XOAI_FIELDS = "array<struct<_VALUE:string,_name:string>>"
 
 
 def xoai_elements(levels: int = 4) -> str:
-    """The nested ``element`` array: named elements holding named fields, ``levels`` deep."""
-    inner = f"field:{XOAI_FIELDS}"
-    if levels > 1:
-        inner += f",element:{xoai_elements(levels - 1)}"
+    """The nested ``element`` array: named elements holding named fields, ``levels`` deep, what is deeper as text."""
+    inner = f"field:{XOAI_FIELDS},element:" + (xoai_elements(levels - 1) if levels > 1 else "array<string>")
     return f"array<struct<_name:string,{inner}>>"
 
 
-XML_XOAI = (
-    "header struct<_status:string,identifier:string,datestamp:string,setSpec:array<string>>, "
-    f"metadata struct<metadata:struct<element:{xoai_elements()}>,element:{xoai_elements()}>"
-)
+
+def xml_xoai(levels: int = 4) -> str:
+    return (
+        "header struct<_status:string,identifier:string,datestamp:string,setSpec:array<string>>, "
+        f"metadata struct<metadata:struct<element:{xoai_elements(levels)}>,element:{xoai_elements(levels)}>"
+    )
+
 
 LOOKUP_CSV = "child_id long, parent_id long, parent_xml string"
 INVENTORY = "key string, mtime timestamp, size long"

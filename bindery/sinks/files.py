@@ -43,6 +43,8 @@ def xml_columns(records: DataFrame) -> list[Column]:
     columns = [F.col("leader"), control.alias("controlfield"), data.alias("datafield")]
     if "airflow_record_id" in records.columns:
         columns.insert(0, F.col("airflow_record_id").alias("_airflow-record-id"))
+    if "record_type" in records.columns:
+        columns.insert(0, F.col("record_type").alias("_type"))
     return columns
 
 
@@ -51,13 +53,16 @@ def write_marcxml(
 ) -> None:
     """Records as collections. With ``by``, a folder per value of that column.
 
-    Rows are not shuffled to the folders: every task writes its own part file into each folder it
-    has rows for, so one folder with a third of all rows is written by all tasks.
+    Rows are rebalanced by that column: small folders get one file, and one with a third of all rows is split over
+    tasks when the query runs.
     """
     columns = xml_columns(records)
     if by:
         columns.append(F.col(by))
-    writer = records.select(*columns).write.format("xml").options(
+    rows = records.select(*columns)
+    if by:
+        rows = rows.hint("rebalance", F.col(by))
+    writer = rows.write.format("xml").options(
         rootTag=f'collection xmlns="{NAMESPACE}"', rowTag="record", attributePrefix="_", valueTag="_VALUE"
     )
     if records_per_file:

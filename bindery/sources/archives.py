@@ -113,4 +113,5 @@ def parse_records(records: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return parsed.select(
         "src_key", "rec_pos",
         *marc_columns(F.col("raw.leader"), F.col("raw.controlfield"), F.col("raw.datafield")),
+        F.col("raw._type").alias("record_type"), F.col("raw.`_airflow-record-id`").alias("airflow_record_id"),
     )

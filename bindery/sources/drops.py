@@ -31,10 +31,13 @@ def list_files(spark: SparkSession, path: str, prefix: str = "", delimiter: str
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """The child lookup file; attributes in its XML column are quote-doubled.
 
-    ``ord`` is the place of a row: its file, then its place in it. Files are read whole and in order.
+    ``ord`` is the place of a row: the number of its file, the file, then its place in it. Files are read whole and in order.
     """
     rows = spark.read.options(**CSV_QUOTING).schema(LOOKUP_CSV).csv(path)
-    place = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
+    file = F.input_file_name()
+    # Part numbers grow past their five digits, so they are compared as numbers.
+    part = F.regexp_extract(F.substring_index(file, "/", -1), "^part-([0-9]+)", 1).try_cast("long")
+    place = F.struct(part.alias("part"), file.alias("file"), F.monotonically_increasing_id().alias("row"))
     return rows.withColumn("ord", place)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bindery.functions.fields import record_id
 from bindery.schemas import (
-    CONTROLFIELDS, DATAFIELDS, KEEP_TEXT, XML_MARC, XML_OAI_MARC, XML_XOAI, xoai_elements,
+    CONTROLFIELDS, DATAFIELDS, KEEP_TEXT, XML_MARC, XML_OAI_MARC, xml_xoai, xoai_elements,
 )
 
 
@@ -61,11 +61,13 @@ def marc_columns(leader: Column, control: Column, data: Column) -> list[Column]:
 def read_marcxml(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
     """Records of a collection, with or without the name space.
 
-    In PERMISSIVE mode unreadable records stay as rows with their text in ``rejected``.
+    In PERMISSIVE mode unreadable records stay as rows with their text in ``rejected``. The attributes of a record are
+    ``record_type`` and ``airflow_record_id``.
     """
     raw = _read(spark, path, XML_MARC, mode)
     return raw.select(
-        *_position(mode), *marc_columns(F.col("leader"), F.col("controlfield"), F.col("datafield"))
+        *_position(mode), *marc_columns(F.col("leader"), F.col("controlfield"), F.col("datafield")),
+        F.col("_type").alias("record_type"), F.col("`_airflow-record-id`").alias("airflow_record_id"),
     )
 
 
@@ -94,12 +96,24 @@ def read_oai_marcxml(spark: SparkSession, path: str | list[str], mode: str = "FA
     )
 
 
-def read_xoai(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
-    """Repository records. Name spaces go at the scan; a doubled metadata wrapper is taken off."""
-    raw = _read(spark, path, XML_XOAI, mode)
-    return raw.select(
-        *_position(mode), *_header(mode),
-        F.coalesce(
-            F.col("metadata.metadata.element"), F.col("metadata.element"), F.array().cast(xoai_elements())
-        ).alias("element"),
-    )
+def _deepest(elements: Column, levels: int) -> Column:
+    """What lies below the last level that has a type, as text."""
+    for _ in range(levels):
+        below = F.transform(elements, lambda e: e["element"])
+        elements = F.flatten(F.filter(below, lambda e: e.isNotNull()))
+    return elements
+
+
+def read_xoai(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST", levels: int = 4) -> DataFrame:
+    """Repository records. Name spaces go at the scan; a doubled metadata wrapper is taken off.
+
+    Elements nested deeper than ``levels`` are an error; in PERMISSIVE mode they are kept as text in the last level. The
+    mapping reads four levels. A copy of deeper records needs more.
+    """
+    raw = _read(spark, path, xml_xoai(levels), mode)
+    none = F.array().cast(xoai_elements(levels))
+    element = F.coalesce(F.col("metadata.metadata.element"), F.col("metadata.element"), none)
+    if mode != "PERMISSIVE":
+        deep = F.raise_error(F.lit(f"elements nested deeper than {levels} levels")).cast(xoai_elements(levels))
+        element = F.when(F.size(_deepest(element, levels)) > 0, deep).otherwise(element)
+    return raw.select(*_position(mode), *_header(mode), element.alias("element"))

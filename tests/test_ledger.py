@@ -119,13 +119,7 @@ def test_unreadable_lists_and_blank_names_raise(spark):
             L.prune_status(given, 1, spark.createDataFrame([(name,)], "name string")).collect()
 
 
-def test_cut_is_limited_before_the_shuffle(spark):
-    import contextlib
-    import io
-    from pyspark.sql import Window
-
-    ranked = items(spark, ("a", True, None)).withColumn("r", F.row_number().over(Window.partitionBy("ledger").orderBy(F.desc("pos")))).filter("r <= 2")
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        ranked.explain()
-    assert "WindowGroupLimit" in out.getvalue()
+def test_cut_is_the_same_for_any_number_of_rows(spark):
+    rows = spark.createDataFrame([("a", p) for p in range(1, 8)] + [("b", 3), (None, 5), (None, 6)], "ledger string, pos long")
+    for keep, cuts in ((1, {"a": 7, "b": 3, None: 6}), (3, {"a": 5, "b": 3, None: 5}), (5000, {"a": 1, "b": 3, None: 5})):
+        assert {r["ledger"]: r["_cut"] for r in L.last_cut(rows, keep).collect()} == cuts

@@ -225,3 +225,14 @@ def test_mapping_is_one_narrow_stage(spark, tmp_path):
     with contextlib.redirect_stdout(out):
         xoai_to_marc(read_xoai(spark, str(tmp_path / "t.xml")), F.current_date()).explain()
     assert "Exchange" not in out.getvalue()
+
+
+def test_deeper_elements_are_an_error_or_kept(spark, tmp_path):
+    deep = R.el("a", R.el("b", R.el("c", R.el("none", R.val("v")))))  # below dc: the fifth level holds the value
+    (tmp_path / "t.xml").write_text(R.thesis(deep))
+    with pytest.raises(Exception, match="deeper than 4 levels"):
+        read_xoai(spark, str(tmp_path / "t.xml")).collect()
+    assert "<" in str(read_xoai(spark, str(tmp_path / "t.xml"), mode="PERMISSIVE").first()["element"])
+    jobs.write_cleaned(read_xoai(spark, str(tmp_path / "t.xml"), levels=6), str(tmp_path / "copy"))
+    same = lambda path: read_xoai(spark, str(path), levels=6).drop("src_key", "rec_pos").collect()
+    assert same(tmp_path / "copy") == same(tmp_path / "t.xml")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from bindery.functions.keys import BATCH_FORMAT, overlap_from
 from bindery.operators import changes as O, positions as P, state as T
 from bindery.session import shared_path, stored
 from bindery.streaming.apply import apply_stream, merged, stream_harvest
@@ -144,20 +145,36 @@ def stream_apply(spark, sf_dir):
     return merged(order_snapshot(spark, sf_dir), root, "record_id")
 
 
-@query("overlap_replay", f"WITH {CHANGES} SELECT * FROM applied")
+REPLAYED = """
+, recent AS (
+  SELECT * FROM changed
+  WHERE stamp >= (SELECT strftime(CAST(max(l_shipdate) AS TIMESTAMP) - INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S') FROM lineitem)),
+relatest AS (
+  SELECT record_id, stamp, part, supplier, line, price FROM (
+    SELECT *, row_number() OVER (PARTITION BY record_id
+                                 ORDER BY stamp DESC, part DESC, supplier DESC, line DESC, price DESC) AS rn
+    FROM recent WHERE NOT gone) WHERE rn = 1)
+SELECT * FROM (
+  SELECT * FROM applied WHERE record_id NOT IN (SELECT record_id FROM relatest)
+  UNION ALL SELECT * FROM relatest)
+WHERE record_id NOT IN (SELECT record_id FROM recent WHERE gone)
+"""
+
+
+@query("overlap_replay", f"WITH {CHANGES} {REPLAYED}")
 def overlap_replay(spark, sf_dir):
     """The whole change set, then once more what falls into the overlap before the newest batch.
 
-    The replayed window is applied by key to a snapshot that holds it already.
+    The replayed window is harvested as it is, so a key that was deleted before it comes back with its update.
     """
-    changes = line_changes(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
+    changes = line_changes(lines)
     once = stored(O.apply_changes(order_snapshot(spark, sf_dir), changes, "record_id", PAYLOAD, ORDER), "once")
-    newest = changes.agg(F.max("stamp").alias("newest"))
-    since = newest.select(F.date_format(F.col("newest").cast("timestamp_ntz") - F.expr("INTERVAL 24 HOURS"), "yyyy-MM-dd HH:mm:ss"))
-    window = O.harvest_window(changes, since=since.scalar(), datestamp="stamp")
-    # A deleted key stays deleted: its deletes may lie before the window.
-    window = window.join(once.select("record_id"), "record_id", "left_semi")
-    return O.apply_changes(once, window, "record_id", PAYLOAD, ORDER)
+    # One row: the start of the next harvest, by the stamp of the newest batch. As a constant it reaches the scan.
+    newest = lines.agg(F.date_format(F.max("l_shipdate"), BATCH_FORMAT).alias("stamp"))
+    since = newest.select(overlap_from(F.col("stamp"))).first()[0]
+    window = O.harvest_window(lines, since=F.lit(since).cast(lines.schema["l_shipdate"].dataType), datestamp="l_shipdate")
+    return O.apply_changes(once, line_changes(window), "record_id", PAYLOAD, ORDER)
 
 
 STATE = """

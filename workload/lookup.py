@@ -193,6 +193,22 @@ def packed_nodes(spark, sf_dir):
     )
 
 
+@query("packed_pieces", f"""
+WITH {LINES}, packed AS (SELECT doc_id, child_pos, len(string_split({PACKED}, '||')) AS n FROM lookup)
+SELECT doc_id, child_pos, unnest(range(n)) AS node_pos, true AS well_formed FROM packed
+UNION ALL SELECT doc_id, child_pos, n AS node_pos, false AS well_formed FROM packed WHERE doc_id % 2 = 0
+""")
+def packed_pieces(spark, sf_dir):
+    """A row for every packed field and whether it can be parsed; every second parent has a broken piece at its end."""
+    lookup = O.build_lookup(document_records(spark, sf_dir))
+    broken = F.concat("parent_xml", F.lit('||<datafield tag="ITM"><subfield code="t">'))
+    pieces = O.explode_nodes(lookup.withColumn("parent_xml", F.when(F.col("ord.rec_pos") % 2 == 0, broken).otherwise(F.col("parent_xml"))))
+    return pieces.select(
+        F.col("ord.rec_pos").alias("doc_id"), F.col("ord.child_pos").cast("long").alias("child_pos"),
+        F.col("node_pos").cast("long").alias("node_pos"), F.col("field").isNotNull().alias("well_formed"),
+    )
+
+
 RECORD_LINES = "WITH {0} SELECT doc_id, count(*) AS n_fields, string_agg(tag || ' ' || line, chr(10) ORDER BY pos) AS fields FROM tagged GROUP BY doc_id"
 
 
@@ -210,6 +226,19 @@ def marcxml_roundtrip(spark, sf_dir):
     return by_id(read_marcxml(spark, path))
 
 
+@query("record_attributes", """
+SELECT doc_id, '99' || doc_id || '3811' AS airflow_record_id, CASE lang WHEN 'en' THEN 'Bibliographic' END AS record_type FROM documents
+""")
+def record_attributes(spark, sf_dir):
+    """The attributes of records, written and read back."""
+    path = shared_path(spark, "attributes")
+    kind = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", "Bibliographic").alias("record_type"))
+    records = document_records(spark, sf_dir).join(kind, "doc_id").withColumn("airflow_record_id", F.col("record_id"))
+    write_marcxml(records, path)
+    ident = F.regexp_extract("record_id", "^99([0-9]+)3811$", 1).cast("long")
+    return read_marcxml(spark, path).select(ident.alias("doc_id"), "airflow_record_id", "record_type")
+
+
 @query("archive_roundtrip", RECORD_LINES.format(LINES))
 def archive_roundtrip(spark, sf_dir):
     """Each record as an XML collection in a gzipped tar, unpacked, cut into records and parsed."""

@@ -168,17 +168,22 @@ def person_name():
     )
 
 
-@query("person_fields", f"""
-WITH named AS (SELECT c_custkey, {PERSON} AS n, CASE WHEN c_acctbal > 5000 THEN 'https://orcid.org/' || c_custkey WHEN c_acctbal > 0 THEN c_custkey || '' END AS o FROM customer),
+NAME_CUT = """
 cut AS (SELECT *, instr(n, '-') AS p1, CASE WHEN instr(n, '-') > 0 THEN substr(n, instr(n, '-') + 1) ELSE '' END AS rest FROM named),
 cut2 AS (SELECT *, CASE WHEN p1 > 0 THEN substr(n, 1, p1 - 1) ELSE '' END AS head, instr(rest, '-') AS p2 FROM cut),
 cut3 AS (SELECT *, CASE WHEN p2 > 0 THEN substr(rest, greatest(p2 - 1 - 3, 1)) ELSE substr(n, greatest(p1 - 1 - 3, 1)) END AS d FROM cut2)
-SELECT c_custkey,
-       CASE WHEN instr(n, '(') > 0 THEN substr(n, 1, instr(n, '(') - 1)
+"""
+NAME_A = """CASE WHEN instr(n, '(') > 0 THEN substr(n, 1, instr(n, '(') - 1)
             WHEN p1 = 0 THEN n || ','
             WHEN regexp_matches(head, '[0-9]$') THEN substr(head, 1, greatest(length(head) - 6, 0))
             WHEN p2 > 0 THEN head || '-' || substr(rest, 1, greatest(p2 - 1 - 6, 0))
-            ELSE n END AS a,
+            ELSE n END"""
+
+
+@query("person_fields", f"""
+WITH named AS (SELECT c_custkey, {PERSON} AS n, CASE WHEN c_acctbal > 5000 THEN 'https://orcid.org/' || c_custkey WHEN c_acctbal > 0 THEN c_custkey || '' END AS o FROM customer),
+{NAME_CUT}
+SELECT c_custkey, {NAME_A} AS a,
        CASE WHEN instr(n, '(') > 0 THEN '(' || split_part(substr(n, instr(n, '(') + 1), ')', 1) || ')' ELSE '' END AS q,
        CASE WHEN p1 > 0 AND regexp_matches(d, '^[0-9]') THEN d || '. ' ELSE '' END AS d,
        'author. ' AS e,
@@ -197,17 +202,17 @@ def person_fields(spark, sf_dir):
     return made.select("c_custkey", *[part(c).alias(n) for c, n in (("a", "a"), ("q", "q"), ("d", "d"), ("e", "e"), ("0", "orcid"))])
 
 
-@query("person_entries", """
-SELECT doc_id, place, CASE WHEN place = 0 THEN '100' ELSE '700' END AS tag, name || ',' AS a
-FROM (SELECT doc_id, unnest(range(len(l))) AS place, unnest(l) AS name FROM (SELECT doc_id, string_split(replace(replace(text, '(', ''), '-', ''), chr(10)) AS l FROM documents))
-WHERE name <> ''
+@query("person_entries", f"""
+WITH named AS (SELECT * FROM (SELECT doc_id, unnest(range(len(l))) AS place, unnest(l) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)) WHERE n <> ''),
+{NAME_CUT}
+SELECT doc_id, place, CASE WHEN place = 0 THEN '100' ELSE '700' END AS tag, {NAME_A} AS a FROM cut3
 """)
 def person_entries(spark, sf_dir):
     """Every line of a document taken as a creator: the first one gets the main entry."""
-    plain = F.replace(F.replace("text", F.lit("("), F.lit("")), F.lit("-"), F.lit(""))
-    lines = F.split(plain, "\n")
+    lines = F.split("text", "\n")
     rows = table(spark, sf_dir, "documents").select("doc_id", lines.alias("lines"))
     filled = F.filter(F.transform("lines", lambda l, i: F.when(l != "", i)), lambda i: i.isNotNull())
     zipped = F.arrays_zip(filled.alias("place"), author_fields(F.col("lines")).alias("field"))
     made = rows.select("doc_id", F.inline(zipped).alias("place", "field"))
-    return made.select("doc_id", F.col("place").cast("long").alias("place"), F.col("field.tag").alias("tag"), F.col("field.subfield")[0]["value"].alias("a"))
+    first = F.filter("field.subfield", lambda s: s["code"] == "a")
+    return made.select("doc_id", F.col("place").cast("long").alias("place"), F.col("field.tag").alias("tag"), F.coalesce(F.get(first, F.lit(0))["value"], F.lit("")).alias("a"))

@@ -12,7 +12,9 @@ from workload.registry import query, table
 def _element(level: int, name: str, children: list[Column] | Column | None = None, fields: list[tuple[str, Column]] = ()) -> Column:
     made = F.array(*[F.struct(value.alias("_VALUE"), F.lit(code).alias("_name")) for code, value in fields])
     parts = [F.lit(name).alias("_name"), made.cast("array<struct<_VALUE:string,_name:string>>").alias("field")]
-    if level > 1:
+    if level == 1:
+        parts.append(F.array().cast("array<string>").alias("element"))
+    else:
         inner = children if isinstance(children, Column) else F.array(*(children or []))
         parts.append(inner.cast(xoai_elements(level - 1)).alias("element"))
     return F.struct(*parts)
@@ -24,8 +26,7 @@ def _leaf(level: int, values: list[Column] | Column) -> Column:
         values = F.array(*values)
     made = F.transform(values, lambda v: F.struct(v.alias("_VALUE"), F.lit("value").alias("_name")))
     parts = [F.lit("none").alias("_name"), made.alias("field")]
-    if level > 1:
-        parts.append(F.array().cast(xoai_elements(level - 1)).alias("element"))
+    parts.append(F.array().cast(xoai_elements(level - 1) if level > 1 else "array<string>").alias("element"))
     return F.struct(*parts)
 
 
@@ -44,6 +45,11 @@ def document_theses(spark, sf_dir) -> DataFrame:
     creators = F.when(english, F.array(F.concat(F.lit("Abdel-Salam, "), "source"), F.lit(""), F.concat("source", F.lit(" (Sam), 1911-1992"))))
     creators = creators.when(kind == "fr", F.array(F.lit(""), F.col("source"))).otherwise(F.array(F.concat("source", F.lit(", Jane"))))
     some = lambda condition, *items: F.when(condition, F.array(*items)).otherwise(F.array())
+    handle = _element(2, "uri", [_leaf(1, [F.concat(F.lit("http://hdl.handle.net/"), doc)])])
+    files = [
+        _element(2, "filename", [_leaf(1, [F.concat("source", F.lit("_thesis.pdf"))])]),
+        _element(2, "proqst", [_leaf(1, [F.concat(F.lit("p"), doc)])]),
+    ]
     dc = _element(4, "dc", F.array(
         _element(3, "contributor", [
             _element(2, "advisor", [_leaf(1, [F.lit("Hiller, Matthew L.")])]),
@@ -51,7 +57,7 @@ def document_theses(spark, sf_dir) -> DataFrame:
         ]),
         _element(3, "creator", [_leaf(2, creators), _element(2, "orcid", [_leaf(1, some(english, F.concat(F.lit("0000-"), doc)))])]),
         _qualified("date", issued=[F.lit("2011-05")]),
-        _element(3, "identifier", [_element(2, "uri", [_leaf(1, [F.concat(F.lit("http://hdl.handle.net/"), doc)])])]),
+        _element(3, "identifier", F.when(kind == "es", F.array(handle, *files)).otherwise(F.array(handle))),
         _element(3, "description", [
             _leaf(2, [F.concat(F.lit(" note  of "), "source")]),
             _element(2, "abstract", [_leaf(1, [F.col("text")])]),
@@ -91,6 +97,8 @@ def _name(name: str, role: str, a: str, q: str | None = None, d: str | None = No
 
 ORCID = "'(orcid)0000-' || doc_id"
 RULES = [
+    _rule(1, "'024'", _parts(a="source || '_thesis'"), "'8'", where="lang = 'es'"),
+    _rule(2, "'035'", _parts(a="'(MiAaPQD)p' || doc_id"), where="lang = 'es'"),
     _rule(3, "'035'", _parts(a="'(PPT)' || CASE WHEN lang = 'en' THEN '10_34944_dspace_' || doc_id ELSE '' END")),
     _rule(4, "'040'", _parts(a="'TEU'", b="'eng'", c="'TEU'", e="'rda'")),
     _rule(5, "'100'", _name("", "author", "'Abdel-Salam, ' || source", orcid=ORCID), "'1'", where="lang = 'en'"),
