@@ -319,7 +319,7 @@ def test_pipeline(shared_spark, docs, rows, tmp_path):
 
 
 def test_queries_are_registered():
-    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 11)] == [1] * 10 and set(SQL) <= set(QUERIES)
+    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 14)] == [1] * 13 and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
