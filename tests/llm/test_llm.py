@@ -214,6 +214,29 @@ def test_toxicity(shared_spark):
     assert scorer.features('he said the word "idiot" once')[2] < scorer.features("you idiot")[2]
 
 
+def test_long_words_are_learned(shared_spark):
+    word = "abuse" * 12
+    rows = [(i, f"plain words about water {i}", 0) for i in range(60)] + [(100 + i, f"plain words {word} about {i}", 1) for i in range(20)]
+    learned = toxicity.learn_lexicon(shared_spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert word in {term for term, stem, _ in learned if not stem} and toxicity.Lexicon(learned).match(word)[0] > 0
+
+
+def test_fit_converges():
+    """Where plain Newton steps swing: matches nearly as many in clean texts as in toxic ones, and one feature that tells them apart."""
+    import numpy as np
+
+    make = np.random.default_rng(1)
+    labels = (make.random(4000) < 0.1).astype(float)
+    rows = np.column_stack([
+        np.ones(4000), make.normal(0.5 + 3.5 * labels, 0.3), np.where(labels == 1, 7.4, make.choice([0.0, 5.0], 4000)), make.normal(1.9, 0.8, 4000),
+        make.normal(0.9 + 0.9 * labels, 0.4), np.zeros(4000), make.normal(0.8 + labels, 0.9),
+    ])
+    beta = toxicity.fit(rows, labels)
+    p = 1 / (1 + np.exp(-(rows @ beta)))
+    assert np.abs(rows.T @ (labels - p) - toxicity.RIDGE * (beta - toxicity.PRIOR)).max() < 1e-3
+    assert ((p >= toxicity.THRESHOLD) == labels).mean() > 0.99
+
+
 def test_fingerprints(docs, rows):
     got = fingerprints.against_next(docs).collect()
     order = sorted(rows, key=lambda r: (-r[0] if r[0] is not None else 2**63, r[1] or ""))
