@@ -101,6 +101,35 @@ def empty_dirs(dirs: DataFrame, entries: DataFrame, path: str = "path") -> DataF
     return dirs.join(parents, path, "left_anti")
 
 
+def emptied_dirs(dirs: DataFrame, files: DataFrame, path: str = "path", most_levels: int = 64) -> DataFrame:
+    """Directories with no file beneath them at any depth, as removed by repeated passes: a folder of empty folders is one.
+
+    Each file's folders are closed upwards: a row for every ancestor, made distinct in the tasks before the shuffle, and
+    the directories that are not among them are left. A path of more than ``most_levels`` parts is an error.
+    """
+    parts = F.split(F.col(path), "/")
+    deep = F.raise_error(F.concat(F.lit(f"more than {most_levels} levels: "), F.col(path))).cast("array<string>")
+    checked = F.when(F.size(parts) > most_levels, deep).otherwise(parts)
+    above = F.transform(F.sequence(F.lit(1), F.greatest(F.size(checked) - 1, F.lit(1))), lambda n: F.array_join(F.slice(checked, F.lit(1), n), "/"))
+    held = files.filter(F.size(parts) > 1).select(F.explode(above).alias(path)).distinct()
+    return dirs.join(held, path, "left_anti")
+
+
+def move_conflicts(moves: DataFrame, source: str = "key", target: str = "moved_to") -> DataFrame:
+    """Moves that cannot be done in any order or at once: ``key``, ``moved_to``, and ``conflict``.
+
+    ``same_target``: several sources go to one place. ``occupied``: the place is the source of another move, so that one has to
+    go first; in a ring no order is right. A place that is the row's own source is no move and no conflict.
+    """
+    real = moves.filter(F.col(source) != F.col(target)).select(F.col(source).alias("key"), F.col(target).alias("moved_to"))
+    targets = real.groupBy("moved_to").agg(F.count_distinct("key").alias("sources")).filter("sources > 1").select("moved_to")
+    same = real.join(targets, "moved_to", "left_semi").withColumn("conflict", F.lit("same_target"))
+    sources = real.select(F.col("key").alias("moved_to")).distinct()
+    occupied = real.join(sources, "moved_to", "left_semi").withColumn("conflict", F.lit("occupied"))
+    columns = ["key", "moved_to", "conflict"]
+    return same.select(*columns).unionByName(occupied.select(*columns))
+
+
 def relocations(files: DataFrame, key: str = "key") -> DataFrame:
     """Loaded files and where they move; names that stay are left out."""
     return files.filter(needs_relocation(F.col(key))).withColumn("moved_to", processed_key(F.col(key)))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bindery.functions.keys import BLANKS
 from bindery.functions.values import parse_list
@@ -60,9 +60,13 @@ def push(
 
 
 def last_cut(items: DataFrame, keep_last: int) -> DataFrame:
-    """Position from which a ledger's last ``keep_last`` rows start. Rows are numbered, so a ledger is spread over many tasks."""
-    placed = numbered(items.select("ledger", "pos"), ["pos"], ["ledger"], into="_at", total="_of")
-    last = placed.filter(F.col("_at") > F.col("_of") - keep_last)
+    """Position from which a ledger's last ``keep_last`` rows start.
+
+    A rank filter over the positions: Spark keeps the top rows of each ledger in every task before the shuffle, so at most
+    tasks x ledgers x ``keep_last`` rows of two columns are sent, whatever a ledger's size.
+    """
+    place = F.row_number().over(Window.partitionBy("ledger").orderBy(F.col("pos").desc()))
+    last = items.select("ledger", "pos").withColumn("_at", place).filter(F.col("_at") <= keep_last)
     return stored(last.groupBy("ledger").agg(F.min("pos").alias("_cut")), "cut")
 
 
