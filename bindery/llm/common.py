@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -63,5 +64,15 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[StructField], wor
                 function = function or work()
                 made = function([part.column(f"_in{i}") for i in range(len(inputs))])
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))] + made, names=schema.names)
+        function = None
+        released()
 
     return read.mapInArrow(run, schema)
+
+
+def released() -> None:
+    """Give memory that this worker has freed back to the system. Workers are kept for later tasks and would hold on to it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, if it has it
+    if trim is not None:
+        trim(0)

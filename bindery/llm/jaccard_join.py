@@ -38,9 +38,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 5
 PERCENT = 75  # least similarity
 FREQUENT = 1 << 20  # frequent tokens that tasks are told, at most
-CHUNK_TOKENS = 1 << 21  # tokens a task counts, or packs, at a time
+CHUNK_TOKENS = 1 << 21  # tokens a task counts at a time
+PACKED_TOKENS = 1 << 19  # postings a task packs at a time
 PART_BYTES = 1 << 20  # text bytes cut into shingles at a time; some arrays have eight bytes for each
 BUCKET_TOKENS = 1 << 19  # tokens of all documents for each bucket of postings
+PARTITION_BUCKETS = 16  # buckets a task reads, about
 HOT = 1 << 16  # nodes that share a token above which its postings are spread
 MULTIPLES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
 VERIFY_COST = 40  # of a pair, in postings read
@@ -50,12 +52,14 @@ FILTER_BITS = 1 << 28  # of a filter on nodes, at most
 class Shingler:
     """Sets of shingle hashes of texts."""
 
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
     def __init__(self, size: int = SHINGLE) -> None:
         code = np.arange(256)
         self.inside = ~((code == 32) | ((code >= 9) & (code <= 13)))
         lower = np.where((code >= 65) & (code <= 90), code + 32, code)
         self.values = np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)[lower]
-        self.base, self.inverse = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+        self.base, self.inverse = self.BASE, np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
         self.power = self.unpower = np.zeros(0, np.uint64)
         self.size = size
 
@@ -170,8 +174,10 @@ def survey(docs: DataFrame, doc: str, text: str, size: int) -> DataFrame:
                         held, tokens, seen = 0, [], set()
             if tokens:
                 yield counts()
+            tokens.clear()
+        common.released()
 
-    return docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(work, schema)
+    return docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(work, schema)
 
 
 def frequent_tokens(surveyed: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,32 +217,34 @@ def postings(docs: DataFrame, text: str, frequent, buckets: int, size: int, perc
     """Postings of all prefixes, packed by bucket of their token: (bucket, content).
 
     ``content`` holds arrays: nodes, sizes, tokens behind the prefix, tokens (hot ones last), the place of each token's node.
-    A node that several documents of a task have comes once.
+    A node that several documents of a task's chunk have comes once.
     """
 
+    def packed(token, owner, spread, nodes, sizes, rests):
+        mixed = Shingler().mixed
+        t, o, s = np.concatenate(token), np.concatenate(owner), np.concatenate(spread)
+        nodes, sizes, rests = np.array(nodes, np.int64), np.array(sizes, np.int32), np.array(rests, np.int32)
+        hot = s > HOT
+        at, salt = np.flatnonzero(hot), np.zeros(len(t), np.uint64)
+        salt[at] = nodes[o[at]].view(np.uint64) % (s[at] // HOT + 1).astype(np.uint64)
+        key = (mixed(t + salt * Shingler.BASE) % np.uint64(buckets)).astype(np.int64) * 2 + hot
+        by = np.argsort(key, kind="stable")
+        t, o, hot, bucket = t[by], o[by], hot[by], key[by] >> 1
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        contents = []
+        for a, b in zip(cuts, np.append(cuts[1:], len(t))):
+            used, place = np.unique(o[a:b], return_inverse=True)
+            head = np.array([b - a, len(used), hot[a:b].sum()], np.int64)
+            place = place.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
+            arrays = (head, nodes[used], sizes[used], rests[used])
+            contents.append(b"".join([*(x.tobytes() for x in arrays), narrow(t[a:b]), place.tobytes()]))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int64()), pa.array(contents, pa.binary())], names=["bucket", "content"])
+
     def work(batches):
         with np.errstate(over="ignore"):
             shingler, seen = Shingler(size), set()
             token, owner, spread, nodes, sizes, rests = [], [], [], [], [], []
             held = 0
-
-            def packed():
-                t, o, s = np.concatenate(token), np.concatenate(owner), np.concatenate(spread)
-                salt = np.where(s > HOT, np.array(nodes, np.int64)[o].view(np.uint64) % (s // HOT + 1).astype(np.uint64), np.uint64(0))
-                bucket = (shingler.mixed(t + salt * shingler.base) % np.uint64(buckets)).astype(np.int64)
-                by = np.lexsort((s > HOT, bucket))
-                t, o, bucket, hot = t[by], o[by], bucket[by], (s > HOT)[by]
-                cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                all_nodes, all_sizes, all_rests = np.array(nodes, np.int64), np.array(sizes, np.int32), np.array(rests, np.int32)
-                contents = []
-                for a, b in zip(cuts, np.append(cuts[1:], len(t))):
-                    used, place = np.unique(o[a:b], return_inverse=True)
-                    head = np.array([b - a, len(used), hot[a:b].sum()], np.int64)
-                    place = place.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
-                    arrays = (head, all_nodes[used], all_sizes[used], all_rests[used])
-                    contents.append(b"".join([*(x.tobytes() for x in arrays), narrow(t[a:b]), place.tobytes()]))
-                return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int64()), pa.array(contents, pa.binary())], names=["bucket", "content"])
-
             for batch in batches:
                 for part in common.parts(batch, "text", PART_BYTES):
                     for s in shingler.sets(part.column("text")):
@@ -248,19 +256,21 @@ def postings(docs: DataFrame, text: str, frequent, buckets: int, size: int, perc
                         seen.add(node)
                         tokens, count = prefix(s, frequent, percent)
                         token.append(tokens)
-                        owner.append(np.full(len(tokens), len(nodes)))
+                        owner.append(np.full(len(tokens), len(nodes), np.int32))
                         spread.append(count)
                         nodes.append(node)
                         sizes.append(len(s))
                         rests.append(len(s) - len(tokens))
                         held += len(tokens)
-                    if held > CHUNK_TOKENS:
-                        yield packed()
+                    if held > PACKED_TOKENS:
+                        yield packed(token, owner, spread, nodes, sizes, rests)
                         token, owner, spread, nodes, sizes, rests, held, seen = [], [], [], [], [], [], 0, set()
             if token:
-                yield packed()
+                yield packed(token, owner, spread, nodes, sizes, rests)
+        del token, owner, spread
+        common.released()
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(work, "bucket long, content binary")
+    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(work, "bucket long, content binary")
 
 
 def unpacked(content: bytes) -> tuple[np.ndarray, ...]:
@@ -275,47 +285,55 @@ def unpacked(content: bytes) -> tuple[np.ndarray, ...]:
     return token, out[0][place], out[1][place].astype(np.int64), out[2][place].astype(np.int64), np.arange(n) >= n - hot
 
 
-def shared_tokens(packed: DataFrame, percent: int) -> DataFrame:
-    """What nodes share, bucket by bucket.
+def shared_tokens(packed: DataFrame, partitions: int, percent: int) -> DataFrame:
+    """What nodes share, bucket by bucket. Buckets are sorted within a task, which so holds one at a time.
 
     kind 0: a and b are the only nodes with some tokens, n of them; x: how many tokens they must share. kind 1: the token a of
     three or more nodes has node b; x: the node's size, y: its tokens behind the prefix.
     """
     schema = "kind int, a long, b long, n long, x long, y long"
 
-    def work(batches):
-        groups: dict[int, list] = {}
-        for batch in batches:
-            for bucket, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                groups.setdefault(bucket, []).append(content)
-        for contents in groups.values():
-            token, node, size, rest, hot = (np.concatenate(x) for x in zip(*map(unpacked, contents)))
-            by = np.lexsort((node, token))
-            token, node, size, rest, hot = token[by], node[by], size[by], rest[by], hot[by]
-            new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))  # the same node from several tasks
-            token, node, size, rest, hot = token[new], node[new], size[new], rest[new], hot[new]
-            begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-            count = np.diff(np.append(begin, len(token)))
-            group = np.repeat(np.arange(len(begin)), count)
-            many = (count[group] > 2) | hot
-            two = begin[(count == 2) & ~hot[begin]]
-            a, b = two, two + 1
-            fits = np.minimum(size[a], size[b]) * 100 >= percent * np.maximum(size[a], size[b])
-            a, b = a[fits], b[fits]
-            need = needed(size[a], rest[a], size[b], rest[b], percent)
-            a, b = node[a], node[b]
-            order = np.lexsort((b, a))
-            a, b, need = a[order], b[order], need[order]
-            at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
-            if len(at):
-                yield rows(0, a[at], b[at], np.diff(np.append(at, len(a))), need[at], need[at])
-            if many.any():
-                yield rows(1, token[many].view(np.int64), node[many], np.ones(many.sum(), np.int64), size[many], rest[many])
-
     def rows(kind, *columns):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind), pa.int32()), *[pa.array(c, pa.int64()) for c in columns]], names=["kind", "a", "b", "n", "x", "y"])
 
-    return packed.repartition("bucket").mapInArrow(work, schema)
+    def of_bucket(contents):
+        token, node, size, rest, hot = (np.concatenate(x) for x in zip(*contents))
+        by = np.lexsort((node, token))
+        token, node, size, rest, hot = token[by], node[by], size[by], rest[by], hot[by]
+        new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))  # the same node from several tasks
+        token, node, size, rest, hot = token[new], node[new], size[new], rest[new], hot[new]
+        begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        count = np.diff(np.append(begin, len(token)))
+        many = np.repeat(count > 2, count) | hot
+        two = begin[(count == 2) & ~hot[begin]]
+        a, b = two, two + 1
+        fits = np.minimum(size[a], size[b]) * 100 >= percent * np.maximum(size[a], size[b])
+        a, b = a[fits], b[fits]
+        need = needed(size[a], rest[a], size[b], rest[b], percent)
+        a, b = node[a], node[b]
+        order = np.lexsort((b, a))
+        a, b, need = a[order], b[order], need[order]
+        at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
+        if len(at):
+            yield rows(0, a[at], b[at], np.diff(np.append(at, len(a))), need[at], need[at])
+        if many.any():
+            yield rows(1, token[many].view(np.int64), node[many], np.ones(many.sum(), np.int64), size[many], rest[many])
+
+    def work(batches):
+        last, contents = None, []
+        for batch in batches:
+            for bucket, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != last and contents:
+                    yield from of_bucket(contents)
+                    contents = []
+                last = bucket
+                contents.append(unpacked(bytes(content.as_buffer())))
+        if contents:
+            yield from of_bucket(contents)
+        del contents
+        common.released()
+
+    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(work, schema)
 
 
 def key_of(node: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -377,8 +395,9 @@ def sets_of(docs: DataFrame, doc: str, text: str, nodes: DataFrame, size: int) -
                             seen.add(found[i])
                             fresh.append(i)
                     yield pa.RecordBatch.from_arrays([pa.array(found[fresh], pa.int64()), pa.array([narrow(sets[i]) for i in fresh], pa.binary())], names=["node", "tokens"])
+        common.released()
 
-    return docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(work, "node long, tokens binary")
+    return docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(work, "node long, tokens binary")
 
 
 def verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, doc: str, text: str, size: int, percent: int) -> DataFrame:
@@ -396,6 +415,7 @@ def verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, doc: str, text
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             good = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
+        common.released()
 
     return stored(joined.mapInArrow(work, "a long, b long"), "links")
 
@@ -470,8 +490,10 @@ def node_components(docs: DataFrame, doc: str = "doc_id", text: str = "text", si
     members = surveyed.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n")
     frequent = frequent_tokens(surveyed, limit)
     total = members.agg(F.sum("n")).first()[0] or 0
-    packed = postings(docs, text, frequent, max(256, total // BUCKET_TOKENS), size, percent)
-    shared = stored(shared_tokens(packed, percent), "shared")
+    buckets = max(256, total // BUCKET_TOKENS)
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // PARTITION_BUCKETS)
+    packed = postings(docs, text, frequent, buckets, size, percent)
+    shared = stored(shared_tokens(packed, partitions, percent), "shared")
 
     first = stored(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "first")
 

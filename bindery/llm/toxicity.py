@@ -56,7 +56,7 @@ EVIDENCE = math.log(1e6)  # a learned entry would arise by chance once in so man
 PRIOR = np.array([-2.6, 0.8, 0.5, 0.4, 0.2, -0.5, 0.3])
 FEATURES = len(PRIOR)
 RIDGE = 0.5
-KEPT_WORDS, KEPT_STATES = 400_000, 100_000
+KEPT_WORDS, KEPT_PLACES = 400_000, 500_000  # words, and trie nodes in all states, that a task remembers
 
 Entry = tuple[str, bool, float]  # term, whether it is a stem, weight
 
@@ -95,6 +95,7 @@ class Lexicon:
         self.states: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.stems: list[float] = []
+        self.places = 0
         self.begin = self.state({0: 0})
 
     def state(self, reached: dict[int, int]) -> int:
@@ -111,6 +112,7 @@ class Lexicon:
         if key not in self.number:
             self.number[key] = len(self.states)
             self.states.append(key)
+            self.places += len(key)
             self.moves.append({})
             self.stems.append(max((self.stem[n] for n, e in key if e == 0), default=0.0))
         return self.number[key]
@@ -141,7 +143,7 @@ class Lexicon:
             stem = max(stem, self.stems[state])
         exact = max((self.word[n] for n, e in self.states[state] if e == 0), default=0.0)
         near = max((self.word[n] for n, e in self.states[state] if 0 < e <= self.allowed[n]), default=0.0)
-        if len(self.states) > KEPT_STATES:
+        if self.places > KEPT_PLACES:
             self.forget()
         return (max(stem, exact), True) if stem or exact else (near / 2, False)
 
