@@ -44,6 +44,15 @@ def put_if_absent(spark: SparkSession, path: str, text: str) -> None:
         raise
 
 
+def claim(spark: SparkSession, path: str, owner: str) -> None:
+    """Write the owner's name unless somebody else's is there. Claiming again for the same owner does nothing."""
+    try:
+        put_if_absent(spark, path, owner)
+    except CommitConflict:
+        if spark.read.text(path, wholetext=True).first()[0] != owner:
+            raise
+
+
 def _name(version: int) -> str:
     return f"{version:012d}.json"
 

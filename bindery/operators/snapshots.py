@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bindery.operators.commits import claim
+
 ALIASES = "alias string, snapshot string, version long"
 
 
@@ -20,12 +22,14 @@ def publish_snapshot(df: DataFrame, root: str, name: str, alias: str, version: i
     """Write a snapshot unless it is there, then point the alias at it.
 
     The alias row comes last, so a reader sees the old snapshot or the whole new one. A snapshot
-    counts as written only with its success marker; what a lost job left behind is replaced.
+    counts as written only with its success marker; what a lost job left behind is replaced. The alias version is claimed
+    before its row is written: of two publishers with different snapshots one wins and the other raises ``CommitConflict``.
     """
     spark = df.sparkSession
     path = snapshot_path(root, name)
     if not _complete(spark, path):
         df.write.mode("overwrite").parquet(path)
+    claim(spark, f"{root.rstrip('/')}/claims/{alias}-{version}", name)
     row = spark.createDataFrame([(alias, name, version)], ALIASES)
     row.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/aliases/{alias}-{version}")
     return read_aliases(spark, root)

@@ -10,6 +10,7 @@ from bindery.operators import buckets, changes as C, commits
 from bindery.operators.checks import ExpectationError
 from bindery.operators.files import emptied_dirs, move_conflicts
 from bindery.operators.ledger import last_cut
+from bindery.operators.snapshots import publish_snapshot, read_snapshot
 from bindery.plans.jobs import harvest_into
 from bindery.streaming import epochs
 from bindery.streaming.apply import stream_harvest
@@ -212,3 +213,14 @@ def test_top_rows_are_cut_before_the_shuffle(spark):
     place = F.row_number().over(Window.partitionBy("ledger").orderBy(F.col("pos").desc()))
     plan = items.withColumn("_at", place).filter("_at <= 2")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_two_publishers_of_one_version(spark, tmp_path):
+    root = str(tmp_path)
+    publish_snapshot(base(spark), root, "one", "live", 1)
+    publish_snapshot(base(spark), root, "one", "live", 1)  # a rerun of the same one
+    with pytest.raises(commits.CommitConflict):
+        publish_snapshot(base(spark, 3), root, "two", "live", 1)
+    assert read_snapshot(spark, root, "live").count() == 40
+    publish_snapshot(base(spark, 3), root, "two", "live", 2)
+    assert read_snapshot(spark, root, "live").count() == 3
