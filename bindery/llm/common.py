@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -46,6 +46,30 @@ def parts(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordB
         start = stop
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, which may hold dots and quotes."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def place_of(df: DataFrame, column: str) -> int:
+    """Where ``df`` has the column, by its name as Spark compares names."""
+    exact = [i for i, c in enumerate(df.columns) if c == column]
+    return (exact or [i for i, c in enumerate(df.columns) if c.lower() == column.lower()])[0]
+
+
+def numbered(df: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns named by their place only, and the new names of ``columns``.
+
+    What an operator adds under a name of its own then can't clash with a column of the input. ``restored`` undoes it.
+    """
+    return df.toDF(*[f"own{i}" for i in range(len(df.columns))]), [f"own{place_of(df, c)}" for c in columns]
+
+
+def restored(df: DataFrame, original: DataFrame) -> DataFrame:
+    """The columns that ``numbered`` renamed, in their order and with their names."""
+    return df.select(*[f"own{i}" for i in range(len(original.columns))]).toDF(*original.columns)
+
+
 def add_columns(df: DataFrame, inputs: list[str], fields: list[StructField], work: Work, limit: int = PART_BYTES) -> DataFrame:
     """``df`` with columns that ``work()`` computes from ``inputs``, of which the first is the text.
 
@@ -54,15 +78,15 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[StructField], wor
     new = {f.name.lower() for f in fields}
     kept = [c for c in df.columns if c.lower() not in new]
     schema = StructType([df.schema[c] for c in kept] + fields)
-    # Inputs that a new column replaces are still read, under names of their own.
-    read = df.select(*kept, *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(inputs)])
+    # Inputs that a new column replaces are still read, after all others.
+    read = df.select(*[named(c).alias(f"own{i}") for i, c in enumerate(kept)], *[named(c).alias(f"in{i}") for i, c in enumerate(inputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
         for batch in batches:
-            for part in parts(batch, "_in0", limit):
+            for part in parts(batch, "in0", limit):
                 function = function or work()
-                made = function([part.column(f"_in{i}") for i in range(len(inputs))])
+                made = function([part.column(f"in{i}") for i in range(len(inputs))])
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))] + made, names=schema.names)
         function = None
         released()

@@ -177,7 +177,7 @@ def survey(docs: DataFrame, doc: str, text: str, size: int) -> DataFrame:
             tokens.clear()
         common.released()
 
-    return docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(work, schema)
+    return docs.select(common.named(doc).cast("long").alias("doc_id"), common.named(text).alias("text")).mapInArrow(work, schema)
 
 
 def frequent_tokens(surveyed: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,7 +270,7 @@ def postings(docs: DataFrame, text: str, frequent, buckets: int, size: int, perc
         del token, owner, spread
         common.released()
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(work, "bucket long, content binary")
+    return docs.select(common.named(text).alias("text")).mapInArrow(work, "bucket long, content binary")
 
 
 def unpacked(content: bytes) -> tuple[np.ndarray, ...]:
@@ -397,7 +397,7 @@ def sets_of(docs: DataFrame, doc: str, text: str, nodes: DataFrame, size: int) -
                     yield pa.RecordBatch.from_arrays([pa.array(found[fresh], pa.int64()), pa.array([narrow(sets[i]) for i in fresh], pa.binary())], names=["node", "tokens"])
         common.released()
 
-    return docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(work, "node long, tokens binary")
+    return docs.select(common.named(doc).cast("long").alias("doc_id"), common.named(text).alias("text")).mapInArrow(work, "node long, tokens binary")
 
 
 def verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, doc: str, text: str, size: int, percent: int) -> DataFrame:
@@ -555,9 +555,13 @@ def join_components(docs: DataFrame, **options) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest doc_id. Texts without words all stay."""
+    """``docs`` with one document of each component: that with the smallest doc_id. Texts without words all stay.
+
+    Of several rows with that id and the same set of shingles, the one whose JSON form has the smallest digest stays.
+    """
     size = options.get("size", SHINGLE)
-    columns = docs.columns
+    frame, (own_doc, own_text) = common.numbered(docs, doc, text)
+    columns = frame.columns
     decided = winners(*node_components(docs, doc, text, **options))
     held, bits = node_filter(decided.select("node", F.lit(0).cast("long").alias("doc_id")))
 
@@ -573,9 +577,10 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", **opti
 
         return run
 
-    marked = common.add_columns(docs, [text], [StructField("_node", LongType()), StructField("_maybe", BooleanType())], work, PART_BYTES)
+    marked = common.add_columns(frame, [own_text], [StructField("_node", LongType()), StructField("_maybe", BooleanType())], work, PART_BYTES)
     asked = marked.where("_maybe").join(decided.select(F.col("node").alias("_node"), F.col("doc_id").alias("_first"), F.col("winner").alias("_winner")), "_node", "left")
-    kept = asked.where(F.col("_winner").isNull() | ((F.col("_winner") == F.col("_node")) & F.col(f"`{doc}`").cast("long").eqNullSafe(F.col("_first"))))
+    kept = asked.where(F.col("_winner").isNull() | ((F.col("_winner") == F.col("_node")) & F.col(own_doc).cast("long").eqNullSafe(F.col("_first"))))
     # Written before rows that repeat are dropped, so that a node with many copies can be split in the join.
-    kept = stored(kept.select(*columns, "_node"), "kept").dropDuplicates(["_node"])
-    return marked.where(~F.col("_maybe")).select(*columns).unionAll(kept.select(*columns))
+    row = F.struct(*columns)
+    kept = stored(kept.select(*columns, "_node"), "kept").groupBy("_node").agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("row"))
+    return common.restored(marked.where(~F.col("_maybe")).select(*columns).unionAll(kept.select("row.*")), docs)

@@ -178,7 +178,7 @@ def run_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             [pa.array([r[i] for r in rows], pa.string() if i == 0 else pa.int64()) for i in range(4)], names=["encoding", "length_class", "step", "runs"]
         )
 
-    counted = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(work, schema)
+    counted = docs.select(common.named(text).alias("text")).mapInArrow(work, schema)
     return counted.groupBy("encoding", "length_class", "step").agg(F.sum("runs").alias("runs"))
 
 
@@ -244,7 +244,7 @@ def digest(docs: DataFrame, text: str = "text") -> DataFrame:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span in ``text`` replaced by ``mark``; spans that overlap become one."""
     least = learn(docs, text)
-    columns = docs.columns
+    frame, (own,) = common.numbered(docs, text)
 
     def work():
         patterns, run = compiled(), re.compile(RUN)
@@ -259,4 +259,4 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
 
         return lambda given: [pa.array([cut(t) for t in given[0].to_pylist()], pa.string())]
 
-    return common.add_columns(docs, [text], [StructField(text, StringType())], work).select(*columns)
+    return common.restored(common.add_columns(frame, [own], [StructField(own, StringType())], work), docs)

@@ -207,7 +207,7 @@ def hits(shard: Shard, queries: Queries) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[object, str | None]]]:
     """The benchmark's rows in blocks of at most ``limit`` bytes, or one value of the hash of item and text."""
-    rows = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text"))
+    rows = benchmark.select(common.named(item).alias("item"), common.named(text).alias("text"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(64)
     total = rows.agg(F.sum(size)).first()[0] or 0
     count = max(1, -(-2 * total // limit)) if total > limit else 1
@@ -235,7 +235,7 @@ def annotate(
     ]
     kept = [c for c in columns if c.lower() not in {f.name.lower() for f in state + last}]
     out = common.add_columns(frame, [text, "hit_bits", "hit_items"], last, summary_work, SHARD_BYTES)
-    return out.select(*kept, *[f.name for f in last], "longest_match", "hit_bits")
+    return out.select(*[common.named(c) for c in kept], *[f.name for f in last], "longest_match", "hit_bits")
 
 
 def search_work(rows: list[tuple[object, str | None]], window: int):
@@ -281,9 +281,9 @@ def summary_work():
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs, unchanged."""
-    kept = docs.withColumn("_text", F.col(options.get("text", "text")))
-    marked = annotate(kept, benchmark, **options | {"text": "_text"})
-    return marked.where(~F.col("contaminated")).select(*docs.columns)
+    frame, (text,) = common.numbered(docs, options.get("text", "text"))
+    marked = annotate(frame, benchmark, **options | {"text": text})
+    return common.restored(marked.where(~F.col("contaminated")), docs)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW, doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -317,11 +317,5 @@ def score(docs: DataFrame, model: tuple[list[Entry], np.ndarray], text: str = "t
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't predicted to be toxic, unchanged."""
-    marked = score(docs.withColumn("_text", F.col("text")), train(docs, labels), "_text")
-    rest = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    if len(rest) == len(docs.columns):
-        return marked.where("predicted = 0").select(*docs.columns)
-    # Columns of these names are kept aside while the score takes them.
-    aside = docs.select(*rest, *[F.col(c).alias(f"_kept_{c}") for c in docs.columns if c not in rest])
-    marked = score(aside, train(docs, labels)).where("predicted = 0")
-    return marked.select(*[F.col(c if c in rest else f"_kept_{c}").alias(c) for c in docs.columns])
+    frame, (text,) = common.numbered(docs, "text")
+    return common.restored(score(frame, train(docs, labels), text).where("predicted = 0"), docs)
