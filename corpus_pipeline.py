@@ -28,10 +28,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text are replaced by a mark, and its length follows."""
     redacted = secret_scan.redact(docs)
-    if "n_chars" in docs.columns:
-        length = F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
-        redacted = redacted.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), length))
-    return redacted.select(*docs.columns)
+    if "n_chars" not in docs.columns:
+        return redacted
+    length = F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+    return redacted.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), length))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
