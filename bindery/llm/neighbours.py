@@ -17,20 +17,22 @@ BUCKETS = 3  # for each shuffle partition
 SAMPLED = 60  # keys for each bucket, from which its bounds are taken
 
 
-def in_order(df: DataFrame, keys: list[str], ties: list[str], wrap: bool = False, before: bool = False) -> DataFrame:
+def in_order(df: DataFrame, keys: list[str], ties: list[str], wrap: bool = False, before: bool = False, only: DataFrame | None = None) -> DataFrame:
     """``df`` sorted within its partitions, in buckets of consecutive keys, with the neighbours from other buckets.
 
     Adds ``_bucket`` and ``_ghost``: 0 for a row's own place, 1 for a copy of the next bucket's first rows after the last row,
     and with ``before`` -1 for a copy of the previous bucket's last rows. With ``wrap`` the first rows follow the last ones.
-    Keys must not be null. Rows with equal keys share a bucket and are ordered by ``ties``. The driver gets a sample of keys
-    and each bucket's first and last key; their number depends on the partitions, not on the rows.
+    Keys must not be null. Rows with equal keys share a bucket and are ordered by ``ties``, so keys should end with one that
+    tells rows apart. ``only`` may give the keys of all rows where ``df`` is dear to compute. The driver gets the keys of a sample of rows
+    and each bucket's first and last key; their number depends on the partitions, not on the rows. Buckets are dealt to
+    partitions in turn.
     """
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = BUCKETS * partitions
-    only = df.select(*keys)
+    only = (df if only is None else only).select(*keys)
     share = min(1.0, wanted * SAMPLED / max(1, only.count()))
-    sample = sorted(tuple(r) for r in only.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).collect())
+    sample = sorted(tuple(r) for r in only.sample(share, seed=1).collect())
     bounds = sorted({sample[i * len(sample) // wanted] for i in range(1, wanted)}) if sample else []
 
     def tuples(batch):
@@ -63,4 +65,5 @@ def in_order(df: DataFrame, keys: list[str], ties: list[str], wrap: bool = False
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(buckets, pa.int32()), pa.array(ghosts, pa.int32())], names=[*batch.schema.names, "_bucket", "_ghost"])
 
     schema = StructType([*df.schema.fields, StructField("_bucket", IntegerType()), StructField("_ghost", IntegerType())])
-    return df.mapInArrow(spread, schema).repartition(partitions, "_bucket").sortWithinPartitions("_bucket", "_ghost", *keys, *ties)
+    dealt = df.mapInArrow(spread, schema).repartitionById(partitions, F.pmod("_bucket", F.lit(partitions)).cast("int"))
+    return dealt.sortWithinPartitions("_bucket", "_ghost", *keys, *ties)

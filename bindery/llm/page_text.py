@@ -192,24 +192,32 @@ def near(a: tuple[str, str], b: tuple[str, str]) -> int:
 def extract(pages: DataFrame, page: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """(page_id, url, text) of every page, text empty if there is none."""
     frame = pages.select(F.col(page).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"))
-    fields = [
-        StructField("host", StringType()), StructField("path", StringType()), StructField("kinds", StringType()),
-        StructField("lines", ArrayType(StringType())),
-    ]
+    place = [StructField("host", StringType()), StructField("path", StringType())]
+    read = [StructField("kinds", StringType()), StructField("lines", ArrayType(StringType()))]
+
+    def locate():
+        def run(columns):
+            places = [place_of(x) for x in columns[0].to_pylist()]
+            return [pa.array([p[i] for p in places], pa.string()) for i in (0, 1)]
+
+        return run
 
     def parse():
+        where = locate()
+
         def run(columns):
-            read = [lines_of(x) for x in columns[0].to_pylist()]
-            places = [place_of(x) for x in columns[1].to_pylist()]
-            return [
-                pa.array([p[0] for p in places], pa.string()), pa.array([p[1] for p in places], pa.string()),
-                pa.array(["".join(k for k, _ in x) for x in read], pa.string()), pa.array([[t for _, t in x] for x in read], pa.list_(pa.string())),
-            ]
+            lines = [lines_of(x) for x in columns[0].to_pylist()]
+            return where(columns[1:]) + [pa.array(["".join(k for k, _ in x) for x in lines], pa.string()), pa.array([[t for _, t in x] for x in lines], pa.list_(pa.string()))]
 
         return run
 
-    parsed = common.add_columns(frame, ["html", "url"], fields, parse).drop("html")
-    ordered = in_order(parsed.withColumn("of", F.coalesce("url", F.lit(""))), ["host", "path", "of"], ["page_id"], before=True)
+    # The order needs no page: it is found from URLs and ids, then each page is parsed once. Pages of one URL may be many, so
+    # the id is part of the order.
+    keys = ["host", "path", "of", "page"]
+    parts_of = {"of": F.coalesce("url", F.lit("")), "page": F.coalesce(F.col("page_id").cast("string"), F.lit(""))}
+    only = common.add_columns(frame.select("page_id", "url"), ["url"], place, locate).withColumns(parts_of)
+    parsed = common.add_columns(frame, ["html", "url"], place + read, parse).drop("html").withColumns(parts_of)
+    ordered = in_order(parsed, keys, ["page_id"], before=True, only=only)
 
     def work(batches):
         previous = waiting = None  # rows: id, url, place, kinds, lines, ghost, bucket
