@@ -42,7 +42,10 @@ def histogram(lengths: DataFrame, length: str = "length") -> DataFrame:
 
 
 def suffix_sums(counts: DataFrame) -> DataFrame:
-    """For each length that occurs, taken as a context limit, what reaches it and what is left of all documents cut there."""
+    """For each length that occurs, taken as a context limit, what reaches it and what is left of all documents cut there.
+
+    ``counts`` is read twice, so store it if texts are encoded to make it.
+    """
     block = counts.withColumn("block", F.floor(F.col("length") / BLOCK))
     block = block.withColumn("tokens", F.col("length") * F.col("docs"))
     totals = block.groupBy("block").agg(F.sum("docs").alias("block_docs"), F.sum("tokens").alias("block_tokens"))

@@ -12,6 +12,7 @@ from bindery.llm import (
     byte_bpe, filter_audit, fingerprints, importance, jaccard_join, length_histogram, page_text, preferences, quality_rules, secret_scan,
     sharding, suffix_search, toxicity,
 )
+from bindery.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,7 +99,7 @@ def preference_pairs(spark, sf_dir):
 @query("op4_length_histogram")
 def context_limits(spark, sf_dir):
     lengths = length_histogram.encoded_lengths(table(spark, sf_dir, "documents").select("text"), vocabulary())
-    return length_histogram.suffix_sums(length_histogram.histogram(lengths))
+    return length_histogram.suffix_sums(stored(length_histogram.histogram(lengths), "lengths"))
 
 
 @query("op6_prefix_fingerprints")
