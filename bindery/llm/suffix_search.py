@@ -227,19 +227,22 @@ def annotate(
     """
     state = [StructField("hit_bits", BinaryType()), StructField("hit_items", ArrayType(StringType())), StructField("longest_match", LongType())]
     frame, columns = docs, docs.columns
-    for k, rows in enumerate(blocks(benchmark, item, item_text, limit)):
-        frame = common.add_columns(frame, [text] if k == 0 else [text, *[f.name for f in state]], state, search_work(rows, window), SHARD_BYTES)
+    # One pass for each block of the benchmark; the last also sums up, so a benchmark of one block takes one worker a task.
+    passes = list(blocks(benchmark, item, item_text, limit))
     last = [
         StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("n_items", LongType()),
         StructField("items_sha256", StringType()), StructField("contaminated", BooleanType()),
     ]
     kept = [c for c in columns if c.lower() not in {f.name.lower() for f in state + last}]
-    out = common.add_columns(frame, [text, "hit_bits", "hit_items"], last, summary_work, SHARD_BYTES)
-    return out.select(*[common.named(c) for c in kept], *[f.name for f in last], "longest_match", "hit_bits")
+    for k, rows in enumerate(passes):
+        ends = k + 1 == len(passes)
+        inputs = [text] if k == 0 else [text, *[f.name for f in state]]
+        frame = common.add_columns(frame, inputs, state + last * ends, search_work(rows, window, ends), SHARD_BYTES)
+    return frame.select(*[common.named(c) for c in kept], *[f.name for f in last], "longest_match", "hit_bits")
 
 
-def search_work(rows: list[tuple[object, str | None]], window: int):
-    """One pass over the documents: what a block of items hits, added to what earlier blocks hit."""
+def search_work(rows: list[tuple[object, str | None]], window: int, ends: bool):
+    """One pass over the documents: what a block of items hits, added to what earlier blocks hit, and if it ``ends`` the sums."""
 
     def work():
         words = Words()
@@ -256,27 +259,21 @@ def search_work(rows: list[tuple[object, str | None]], window: int):
                 bits = [(int.from_bytes(x) | int.from_bytes(y)).to_bytes(len(x)) for x, y in zip(bits, columns[1].to_pylist())]
                 found = [x + y for x, y in zip(found, columns[2].to_pylist())]
                 longest = np.maximum(longest, columns[3].to_numpy())
-            return [pa.array(bits, pa.binary()), pa.array(found, pa.list_(pa.string())), pa.array(longest, pa.int64())]
+            out = [pa.array(bits, pa.binary()), pa.array(found, pa.list_(pa.string())), pa.array(longest, pa.int64())]
+            return out + summary(shard.sizes, bits, found) if ends else out
 
         return run
 
     return work
 
 
-def summary_work():
-    words = Words()
-
-    def run(columns):
-        sizes = np.diff(words(*common.utf8(columns[0]))[3])
-        n_hit = [int.from_bytes(x).bit_count() for x in columns[1].to_pylist()]
-        items = columns[2].to_pylist()
-        digests = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
-        return [
-            pa.array(sizes, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
-            pa.array(digests, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()),
-        ]
-
-    return run
+def summary(sizes: np.ndarray, bits: list[bytes], items: list[list[str]]) -> list[pa.Array]:
+    n_hit = [int.from_bytes(x).bit_count() for x in bits]
+    digests = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
+    return [
+        pa.array(sizes, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
+        pa.array(digests, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()),
+    ]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
