@@ -76,24 +76,29 @@ def expand_archives(files: DataFrame, tag: str = "record", batch_bytes: int = 8
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                rows, size, position = ([], [], [], []), 0, 0
-                with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r|*") as archive:
-                    for entry in archive:
-                        if not entry.isfile():
-                            continue
-                        for piece in _record_slices(archive.extractfile(entry), tag):
-                            for column, value in zip(rows, (path, entry.name, position, piece)):
-                                column.append(value)
-                            position, size = position + 1, size + len(piece)
-                            if size >= batch_bytes:
-                                yield _batch(rows)
-                                rows, size = ([], [], [], []), 0
-                if rows[0]:
-                    yield _batch(rows)
+                yield from _unpacked(path, io.BytesIO(content.as_buffer()), tag, batch_bytes)
 
     return files.select("path", "content").mapInArrow(unpack, MEMBERS)
 
 
+def _unpacked(path: str, stream: io.BufferedIOBase, tag: str, batch_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The records of one archive, read front to back."""
+    rows, size, position = ([], [], [], []), 0, 0
+    with tarfile.open(fileobj=stream, mode="r|*") as archive:
+        for entry in archive:
+            if not entry.isfile():
+                continue
+            for piece in _record_slices(archive.extractfile(entry), tag):
+                for column, value in zip(rows, (path, entry.name, position, piece)):
+                    column.append(value)
+                position, size = position + 1, size + len(piece)
+                if size >= batch_bytes:
+                    yield _batch(rows)
+                    rows, size = ([], [], [], []), 0
+    if rows[0]:
+        yield _batch(rows)
+
+
 def _batch(rows: tuple[list, list, list, list]) -> pa.RecordBatch:
     types = (pa.string(), pa.string(), pa.int64(), pa.string())
     arrays = [pa.array(column, kind) for column, kind in zip(rows, types)]

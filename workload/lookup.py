@@ -15,6 +15,7 @@ from bindery.operators.snapshots import publish_snapshot, read_snapshot
 from bindery.schemas import DATAFIELDS
 from bindery.session import shared_path
 from bindery.sinks.files import write_chunked, write_cleaned, write_lookup, write_marcxml, write_routed
+from bindery.sources.archive_stream import _system, stream_archives
 from bindery.sources.archives import expand_archives, parse_records
 from bindery.sources.drops import list_files, read_csv_drop, read_json_drop, read_lookup
 from bindery.sources.xml import read_marcxml, read_oai_marcxml, read_xoai
@@ -239,6 +240,15 @@ def record_attributes(spark, sf_dir):
     return read_marcxml(spark, path).select(ident.alias("doc_id"), "airflow_record_id", "record_type")
 
 
+def record_files(spark, sf_dir):
+    """Each record as the text of an XML collection."""
+    return document_records(spark, sf_dir).select(
+        "src_key", "record_id",
+        F.concat(F.lit("<collection><record><controlfield tag=\"001\">"), "record_id", F.lit("</controlfield>"),
+                 F.replace(pack_fields(F.col("datafield")), F.lit("||"), F.lit("")), F.lit("</record></collection>")).alias("xml"),
+    )
+
+
 @query("archive_roundtrip", RECORD_LINES.format(LINES))
 def archive_roundtrip(spark, sf_dir):
     """Each record as an XML collection in a gzipped tar, unpacked, cut into records and parsed."""
@@ -258,14 +268,38 @@ def archive_roundtrip(spark, sf_dir):
                 packed.append(out.getvalue())
             yield batch[["src_key"]].assign(path=batch["src_key"], content=packed)[["path", "content"]]
 
-    rows = document_records(spark, sf_dir).select(
-        "src_key", "record_id",
-        F.concat(F.lit("<collection><record><controlfield tag=\"001\">"), "record_id", F.lit("</controlfield>"),
-                 F.replace(pack_fields(F.col("datafield")), F.lit("||"), F.lit("")), F.lit("</record></collection>")).alias("xml"),
-    )
+    rows = record_files(spark, sf_dir)
     return by_id(parse_records(expand_archives(rows.mapInPandas(pack, "path string, content binary"))))
 
 
+@query("streamed_archives", RECORD_LINES.format(LINES))
+def streamed_archives(spark, sf_dir):
+    """Archives of many records each, written by tasks and streamed back by the data source."""
+    path = shared_path(spark, "archives")
+    system, root = _system(path)
+    system.create_dir(root)
+
+    def write(batches):  # makes the input: an archive for each batch, the same one if the task is repeated
+        import io
+        import tarfile
+
+        from pyspark import TaskContext
+
+        system, root = _system(path)
+        for number, batch in enumerate(batches):
+            made = f"{root}/part-{TaskContext.get().partitionId():05}-{number:05}.tar.gz"
+            with system.open_output_stream(made, compression=None) as out, tarfile.open(fileobj=out, mode="w|gz") as archive:
+                for name, text in zip(batch["record_id"], batch["xml"]):
+                    body = text.encode("utf-8")
+                    entry = tarfile.TarInfo(f"{name}.xml")
+                    entry.size = len(body)
+                    archive.addfile(entry, io.BytesIO(body))
+            yield batch[["src_key"]][:1]
+
+    record_files(spark, sf_dir).mapInPandas(write, "src_key string").write.format("noop").mode("overwrite").save()
+    return by_id(stream_archives(spark, path, maxPartitionBytes=str(1 << 20)))
+
+
 @query("csv_drop", "SELECT conv_id, turn, role, text FROM conversations")
 def csv_drop(spark, sf_dir):
     path = shared_path(spark, "csv-drop")
