@@ -5,11 +5,12 @@ from __future__ import annotations
 import ctypes
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -100,3 +101,18 @@ def released() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, if it has it
     if trim is not None:
         trim(0)
+
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def rows_per_batch(spark: SparkSession, most: int) -> Iterator[None]:
+    """For frames written inside: Arrow batches of at most ``most`` rows. The JVM and the worker each hold whole batches."""
+    before = spark.conf.get(BATCH_ROWS)
+    if not 0 < int(before) <= most:  # 0 and less: no limit
+        spark.conf.set(BATCH_ROWS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)

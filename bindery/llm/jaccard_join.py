@@ -40,13 +40,14 @@ PERCENT = 75  # least similarity
 FREQUENT = 1 << 20  # frequent tokens that tasks are told, at most
 CHUNK_TOKENS = 1 << 21  # tokens a task counts at a time
 PACKED_TOKENS = 1 << 19  # postings a task packs at a time
-PART_BYTES = 1 << 20  # text bytes cut into shingles at a time; some arrays have eight bytes for each
+PART_BYTES = 1 << 18  # text bytes cut into shingles at a time; some arrays have eight bytes for each
 BUCKET_TOKENS = 1 << 19  # tokens of all documents for each bucket of postings
 PARTITION_BUCKETS = 16  # buckets a task reads, about
 HOT = 1 << 16  # nodes that share a token above which its postings are spread
 MULTIPLES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
 VERIFY_COST = 40  # of a pair, in postings read
 FILTER_BITS = 1 << 28  # of a filter on nodes, at most
+BATCH_ROWS = 1000  # texts or pairs of sets that a task is handed at a time
 
 
 class Shingler:
@@ -149,12 +150,15 @@ def survey(docs: DataFrame, doc: str, text: str, size: int) -> DataFrame:
 
     def work(batches):
         with np.errstate(over="ignore"):
-            shingler, seen, held, tokens = Shingler(size), set(), 0, []
+            shingler, seen, held, tokens = Shingler(size), set(), 0, np.empty(CHUNK_TOKENS, np.uint64)
 
             def counts():
-                found, count = np.unique(np.concatenate(tokens), return_counts=True)
+                found = tokens[:held]
+                found.sort()
+                begin = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+                count = np.diff(np.append(begin, held))
                 again = count > 1
-                return rows(1, found[again].view(np.int64), count[again], np.zeros(again.sum(), np.int64))
+                return rows(1, found[begin[again]].view(np.int64), count[again], np.zeros(again.sum(), np.int64))
 
             def rows(kind, a, b, n):
                 return pa.RecordBatch.from_arrays([pa.array(np.full(len(b), kind), pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["kind", "a", "b", "n"])
@@ -165,16 +169,19 @@ def survey(docs: DataFrame, doc: str, text: str, size: int) -> DataFrame:
                     nodes = [shingler.node(s) for s in sets]
                     yield rows(0, part.column("doc_id"), nodes, [len(s) for s in sets])
                     for node, s in zip(nodes, sets):
-                        if node not in seen and len(s) > 1:
-                            seen.add(node)
-                            tokens.append(s)
-                            held += len(s)
-                    if held > CHUNK_TOKENS:
-                        yield counts()
-                        held, tokens, seen = 0, [], set()
-            if tokens:
+                        if node in seen or len(s) < 2:
+                            continue
+                        if held and held + len(s) > len(tokens):
+                            yield counts()
+                            held, seen = 0, set()
+                        if len(s) > len(tokens):
+                            tokens = np.empty(len(s), np.uint64)
+                        seen.add(node)
+                        tokens[held : held + len(s)] = s
+                        held += len(s)
+            if held:
                 yield counts()
-            tokens.clear()
+            del tokens
         common.released()
 
     return docs.select(common.named(doc).cast("long").alias("doc_id"), common.named(text).alias("text")).mapInArrow(work, schema)
@@ -484,8 +491,13 @@ def across_components(nodes: DataFrame, percent: int) -> DataFrame:
     return met.select(a.alias("a"), b.alias("b"), F.lit(0).cast("long").alias("n"), need.alias("need"))
 
 
-def node_components(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, limit: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+def node_components(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """Documents as (doc_id, node, n), and (node, component) for every node that is linked with another one."""
+    with common.rows_per_batch(docs.sparkSession, BATCH_ROWS):
+        return linked_nodes(docs, **options)
+
+
+def linked_nodes(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, limit: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     surveyed = stored(survey(docs, doc, text, size), "survey")
     members = surveyed.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n")
     frequent = frequent_tokens(surveyed, limit)
@@ -562,7 +574,7 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", **opti
     size = options.get("size", SHINGLE)
     frame, (own_doc, own_text) = common.numbered(docs, doc, text)
     columns = frame.columns
-    decided = winners(*node_components(docs, doc, text, **options))
+    decided = winners(*node_components(docs, doc=doc, text=text, **options))
     held, bits = node_filter(decided.select("node", F.lit(0).cast("long").alias("doc_id")))
 
     def work():
