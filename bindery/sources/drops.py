@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from bindery.schemas import LOOKUP_CSV
+from bindery.schemas import INVENTORY, LOOKUP_CSV
 
 CSV_QUOTING = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
@@ -17,12 +17,33 @@ def under_prefix(key: Column, prefix: str, delimiter: str = "/") -> Column:
     return below & (F.instr(F.substr(key, F.lit(len(prefix) + 1)), delimiter) == 0)
 
 
+def folder_of(prefix: str) -> str:
+    """The folder that holds every key below ``prefix``, empty for the root.
+
+    Also empty where a part of the folder means something else as a path: patterns, empty or dotted parts, hidden names.
+    """
+    folder = prefix.rpartition("/")[0]
+    plain = all(part and part[0] not in "._" and not set(part) & set("*?[]{}\\") for part in folder.split("/"))
+    return folder if plain else ""
+
+
 def list_files(spark: SparkSession, path: str, prefix: str = "", delimiter: str = "/") -> DataFrame:
-    """Files under ``path`` as key, mtime and size. File contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    """Files under ``path`` as key, mtime and size. File contents are not read.
+
+    Only the folder that the prefix names is listed, if it is a plain one; without that folder there are no files.
+    """
     # Cut by the length of the whole root, since its last part may recur below it.
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = system.makeQualified(root).toString().rstrip("/")
+    folder = folder_of(prefix)
+    if folder and not any(c in path for c in "*?[]{}"):
+        start = f"{path.rstrip('/')}/{folder}"
+        if not system.exists(spark._jvm.org.apache.hadoop.fs.Path(start)):
+            return spark.createDataFrame([], INVENTORY)
+    else:
+        start = path
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(start)
     key = F.substr("path", F.lit(len(root) + 2))
     listed = files.select(key.alias("key"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
     return listed.filter(under_prefix(F.col("key"), prefix, delimiter))
