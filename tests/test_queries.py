@@ -10,7 +10,7 @@ from compare import compare, oracle
 from workload import QUERIES, SQL
 
 # Python workers unpack archives; everything else stays in the JVM.
-PYTHON_ALLOWED = {"archive_roundtrip"}
+PYTHON_ALLOWED = {"archive_roundtrip", "streamed_archives"}
 
 
 @pytest.fixture(scope="module")
