@@ -224,3 +224,26 @@ def test_two_publishers_of_one_version(spark, tmp_path):
     assert read_snapshot(spark, root, "live").count() == 40
     publish_snapshot(base(spark, 3), root, "two", "live", 2)
     assert read_snapshot(spark, root, "live").count() == 3
+
+
+def test_drops_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Each drop of the epochs query has a file for each task that reads line items, and is one epoch."""
+    from workload import commits as W
+
+    part = F.col("id")
+    orders = spark.range(20).select(part.alias("o_orderkey"), F.timestamp_seconds(part).cast("timestamp_ntz").alias("o_orderdate"), part.alias("o_custkey"), part.cast("double").alias("o_totalprice"))
+    lines = spark.range(0, 400, 1, 4).select(
+        (part % 25).alias("l_orderkey"), part.alias("l_partkey"), part.alias("l_suppkey"), (part % 7).cast("int").alias("l_linenumber"),
+        part.cast("double").alias("l_extendedprice"), F.lit("R").alias("l_returnflag"), F.when(part % 5 == 0, "F").otherwise("O").alias("l_linestatus"),
+        F.timestamp_seconds(part).cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(W, "shared_path", lambda spark, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(W, "BUCKETS", 4)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task a file
+    log = epochs.epoch_log(spark, W.epochs(spark, str(tmp_path))).orderBy("epoch").collect()
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    drops = spark.read.parquet(f"{tmp_path}/inbox").groupBy(F.input_file_name().alias("file"), (F.col("l_linenumber") % 3).alias("drop")).count().collect()
+    assert sorted({r["drop"] for r in drops}) == [0, 1, 2] and len({r["file"] for r in drops}) == len(drops) == 12
+    assert [r.epoch for r in log] == [0, 1, 2] and [r.updated + r.deleted for r in log] == [sum(r["count"] for r in drops if r["drop"] == i) for i in range(3)]

@@ -26,14 +26,18 @@ def bucketed_apply(spark, sf_dir):
 
 
 def epochs(spark, sf_dir) -> str:
-    """Line items as three files by line number, one micro-batch each. Orders have lines in several of them."""
+    """Line items in three drops by line number, one micro-batch each. Orders have lines in several of them.
+
+    A drop has a file for each task that reads the table, so no task reads or writes a whole one.
+    """
     lines = table(spark, sf_dir, "lineitem")
     inbox, root = shared_path(spark, "inbox"), shared_path(spark, "epochs")
-    for i in range(BATCHES):
-        lines.filter(F.col("l_linenumber") % BATCHES == i).coalesce(1).write.mode("append").parquet(inbox)
     buckets.create_snapshot(order_snapshot(spark, sf_dir), root, "record_id", BUCKETS)
-    stream = stream_harvest(spark, inbox, lines.schema, files_per_trigger=1)
-    commit_stream(line_changes(stream), root, PAYLOAD, ORDER, bound="stamp").awaitTermination()
+    for i in range(BATCHES):
+        lines.filter(F.col("l_linenumber") % BATCHES == i).write.mode("append").parquet(inbox)
+        # Started again, the stream takes the files that came since, as one epoch.
+        stream = stream_harvest(spark, inbox, lines.schema)
+        commit_stream(line_changes(stream), root, PAYLOAD, ORDER, bound="stamp").awaitTermination()
     return root
 
 
