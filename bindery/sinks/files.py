@@ -12,18 +12,24 @@ from bindery.sources.drops import CSV_QUOTING
 # Records per output file.
 RECORDS_PER_FILE = 1000
 BOUNDWITH_RECORDS_PER_FILE = 10000
+# Text in a lookup file, more or less.
+LOOKUP_FILE_BYTES = 32 << 20
 
 
-def write_lookup(lookup: DataFrame, path: str) -> None:
+def write_lookup(lookup: DataFrame, path: str, file_bytes: int = LOOKUP_FILE_BYTES) -> None:
     """Child lookup as CSV, in lookup order, on which the first match rests.
 
     The header is written even without rows. Rows are sorted over all tasks, one file each. The lookup is stored first, so
-    that it is computed once and not again for the sort's sample.
+    that it is computed once and not again for the sort's sample. Files are read whole, so there is one for about every
+    ``file_bytes`` of text, however few partitions a shuffle has.
     """
     kept = stored(lookup.select("ord", "child_id", "parent_id", "parent_xml"), "lookup")
-    columns = kept.orderBy("ord").select("child_id", "parent_id", "parent_xml")
+    rows, size = kept.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("parent_xml")), F.lit(0))).first()
+    files = size // file_bytes + 1
+    placed = kept.repartitionByRange(files, "ord").sortWithinPartitions("ord") if files > 1 else kept.orderBy("ord")
+    columns = placed.select("child_id", "parent_id", "parent_xml")
     # A frame without partitions writes no file at all, so keep one for the header.
-    if columns.isEmpty():
+    if not rows:
         columns = columns.coalesce(1)
     columns.write.options(quoteAll="false", **CSV_QUOTING).csv(path)
 

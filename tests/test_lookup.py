@@ -84,6 +84,23 @@ def test_lookup_file_keeps_its_order(spark, tmp_path):
     assert {r["child_id"]: r["parent_id"] for r in first} == {0: 4998, 1: 4999, 2: 4997}
 
 
+def test_lookup_files_follow_the_text(spark, tmp_path):
+    """Each file holds a bounded part of the text, in order, even if a shuffle has one partition."""
+    rows = spark.range(2000).select(
+        (F.col("id") % 3).alias("child_id"), F.col("id").alias("parent_id"), F.repeat(F.lit("x"), 500).alias("parent_xml"), (2000 - F.col("id")).alias("ord"),
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    write_lookup(rows, str(tmp_path / "parts"), file_bytes=100_000)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    files = sorted((tmp_path / "parts").glob("*.csv"))
+    assert len(files) > 5 and max(f.stat().st_size for f in files) < 300_000
+    order = [int(line.split(",")[1]) for f in files for line in f.read_text().splitlines()[1:]]
+    assert order == list(range(1999, -1, -1))
+    first = L.first_match(read_lookup(spark, str(tmp_path / "parts"))).collect()
+    assert {r["child_id"]: r["parent_id"] for r in first} == {0: 1998, 1: 1999, 2: 1997}
+
+
 def test_lookup_file_without_rows(spark, tmp_path, parents, children):
     write_lookup(L.build_lookup(parents.limit(0)), str(tmp_path / "empty"))
     files = list((tmp_path / "empty").glob("*.csv"))
