@@ -50,6 +50,8 @@ LETTER, NUMBER, SPACE, WHITE, QUOTE, OTHER = range(6)
 (NONE, IN_LETTERS, IN_NUMBERS, IN_OTHERS, QUOTED, OPENED, CLOSED, AFTER_SPACE, AFTER_WHITE), STATES = range(9), 9
 WIDTH = 256
 CACHED_BYTES = 100 << 20
+# Text bytes encoded at a time. Every pre-token of a part is a Python object for a while, so a part takes many times its bytes.
+TEXT_BYTES = 512 << 10
 
 
 def step(state: int, symbol: int) -> tuple[int, bool]:
@@ -303,7 +305,7 @@ def encode(docs: DataFrame, vocabulary: bytes, text: str = "text") -> DataFrame:
 
         return run
 
-    return common.add_columns(docs, [text], fields, work)
+    return common.add_columns(docs, [text], fields, work, TEXT_BYTES)
 
 
 def decode(tokens: DataFrame, vocabulary: bytes, ids: str = "ids") -> DataFrame:
@@ -349,4 +351,4 @@ def round_trip(docs: DataFrame, vocabulary: bytes, text: str = "text", with_ids:
 
         return run
 
-    return common.add_columns(docs, [text], fields, work)
+    return common.add_columns(docs, [text], fields, work, TEXT_BYTES)
