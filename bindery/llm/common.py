@@ -106,12 +106,17 @@ def released() -> None:
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def limit_rows(spark: SparkSession, most: int) -> None:
+    """From now on Arrow batches of at most ``most`` rows. The JVM and the worker each hold whole batches."""
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= most:  # 0 and less: no limit
+        spark.conf.set(BATCH_ROWS, str(most))
+
+
 @contextmanager
 def rows_per_batch(spark: SparkSession, most: int) -> Iterator[None]:
-    """For frames written inside: Arrow batches of at most ``most`` rows. The JVM and the worker each hold whole batches."""
+    """``limit_rows`` for frames written inside."""
     before = spark.conf.get(BATCH_ROWS)
-    if not 0 < int(before) <= most:  # 0 and less: no limit
-        spark.conf.set(BATCH_ROWS, str(most))
+    limit_rows(spark, most)
     try:
         yield
     finally:

@@ -31,7 +31,7 @@ from bindery.llm import common
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 10
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 512 << 10
 BLOCK_BYTES = 16 << 20  # benchmark text sent to the tasks at a time
 
 
